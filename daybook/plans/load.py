@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.accounts import basename
+from daybook.functions.metadata import stored_meta
 from daybook.operators import facts, registries, state
 from daybook.operators import transactions as tx
 from daybook.operators.directives import has_invalid_posting, valid_transactions
@@ -33,27 +34,45 @@ def not_loaded(ids: DataFrame, stored: DataFrame | None) -> DataFrame:
     return old.unionByName(repeats).groupBy("seq").agg(F.max("reason").alias("reason"))
 
 
-def new_rows(t: DataFrame, d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
-    """Rows a load adds to each table: children of the new transactions `t`, registries and dated facts of `d`."""
+def registry_rows(d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+    """New (for accounts also changed) registry rows."""
     old = lambda name: None if led is None else led[name]
     return {
         "commodities": registries.build_commodities(d, old("commodities")),
         "accounts": registries.build_accounts(d, old("accounts")),
         "tags": registries.build_tags(d, old("tags")),
         "links": registries.build_links(d, old("links")),
+    }
+
+
+def fact_rows(d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+    """New rows of the facts that belong to no transaction."""
+    built = {
+        "balance_assertions": facts.build_balances(d),
+        "prices": facts.build_prices(d),
+        "ledger_events": facts.build_events(d),
+        "ledger_documents": facts.build_documents(d),
+    }
+    return built if led is None else {t: facts.unseen_facts(df, led[t]) for t, df in built.items()}
+
+
+def transaction_rows(t: DataFrame) -> dict[str, DataFrame]:
+    """Rows of the transaction tables; `t` carries external_id and content_hash."""
+    return {
         "transactions": facts.build_transactions(t),
         "postings": facts.build_postings(t),
         "transaction_metadata": facts.build_txn_meta(t),
         "posting_metadata": facts.build_post_meta(t),
         "transaction_tags": facts.build_txn_tags(t),
         "transaction_links": facts.build_txn_links(t),
-        "balance_assertions": facts.unseen_facts(facts.build_balances(d), old("balance_assertions")),
-        "prices": facts.unseen_facts(facts.build_prices(d), old("prices")),
-        "ledger_events": facts.unseen_facts(facts.build_events(d), old("ledger_events")),
-        "ledger_documents": facts.unseen_facts(facts.build_documents(d), old("ledger_documents")),
     }
 
 
+def new_rows(t: DataFrame, d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+    """Everything a load adds: children of the new transactions `t`, registries and other facts of `d`."""
+    return transaction_rows(t) | registry_rows(d, led) | fact_rows(d, led)
+
+
 def ledger_of(d: DataFrame) -> dict[str, DataFrame]:
     """All tables of a ledger that holds just this run, as a lazy plan."""
     t = tx.external_ids(valid_transactions(d, strict=False))
@@ -156,16 +175,36 @@ def rollback(spark: SparkSession, root: str, files: list[str]) -> DataFrame:
 
 
 def preview(d: DataFrame, led: dict[str, DataFrame]) -> DataFrame:
-    """What a load would do, without writing: (table, action, n). Stored duplicates count as skipped."""
+    """What a load would do, without writing: (table, action, n). Stored duplicates count as skipped.
+
+    Rows of the transaction tables are counted from the arrays and maps of the directives in
+    a single aggregate; nothing is exploded."""
     t = tx.external_ids(valid_transactions(d, strict=False))
-    skipped = not_loaded(t.select("seq", "external_id"), led["transactions"])
-    rows = new_rows(t.join(skipped, "seq", "left_anti"), d, led)
+    skipped = not_loaded(t.select("seq", "external_id"), led["transactions"]).select("seq", F.lit(True).alias("_skip"))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    labels = lambda c: F.array_compact(F.array_distinct(c))
+    post_meta = F.aggregate(F.transform("postings", lambda p: F.greatest(F.size(stored_meta(p["meta"])), F.lit(0))),
+                            F.lit(0), lambda a, x: a + x)
+    fresh = F.col("_skip").isNull()
+    total = lambda c: F.coalesce(F.sum(F.when(fresh, F.greatest(c, F.lit(0)))), F.lit(0))
+    sizes = {
+        ("transactions", "create"): F.count_if(fresh),
+        ("transactions", "skip"): F.count_if(~fresh),
+        ("postings", "create"): total(size("postings")),
+        ("transaction_metadata", "create"): total(size(stored_meta("meta"))),
+        ("posting_metadata", "create"): total(F.coalesce(post_meta, F.lit(0))),
+        ("transaction_tags", "create"): total(size(labels("tags"))),
+        ("transaction_links", "create"): total(size(labels("links"))),
+    }
+    one = t.join(skipped, "seq", "left").agg(*[c.cast("bigint").alias(f"c{i}") for i, c in enumerate(sizes.values())])
+    rows = ", ".join(f"'{table}', '{action}', c{i}" for i, (table, action) in enumerate(sizes))
+    parts = [one.selectExpr(f"stack({len(sizes)}, {rows}) AS (table, action, n)")]
+    tables = registry_rows(d, led) | fact_rows(d, led)
+    accounts = tables.pop("accounts")
     held = led["accounts"].select("name")
-    accounts = rows.pop("accounts")
-    parts = [_count(df, table, "create") for table, df in rows.items()]
+    parts += [_count(df, table, "create") for table, df in tables.items()]
     parts += [_count(accounts.join(held, "name", "left_anti"), "accounts", "create"),
-              _count(accounts.filter("status = 'closed'"), "accounts", "close"),
-              _count(skipped, "transactions", "skip")]
+              _count(accounts.filter("status = 'closed'"), "accounts", "close")]
     return reduce(DataFrame.unionByName, parts)
 
 
