@@ -30,12 +30,12 @@ def with_ids(spark, sf):
 
 def kept(spark, sf):
     """Transactions an empty ledger takes in."""
-    return first_by_key(with_ids(spark, sf), "external_id", "seq")
+    return L.prepare(A.directives(spark, sf)).fresh
 
 
-def stored(spark, sf):
-    """The part of the ledger that is on record already: cleared transactions."""
-    return kept(spark, sf).filter("flag = '*'")
+def cleared(t):
+    """The part of a ledger that is on record already: cleared transactions."""
+    return t.filter("flag = '*'")
 
 
 # ---- sources -------------------------------------------------------------------------
@@ -373,7 +373,8 @@ def u4(spark, sf):
 @query("j3_split_new", """SELECT CASE WHEN external_id IN (SELECT external_id FROM kept WHERE flag = '*') THEN 'skipped' ELSE 'new' END AS part,
     seq, external_id FROM ids""", "ids kept")
 def j3(spark, sf):
-    new, skipped = tx.split_new(with_ids(spark, sf), stored(spark, sf))
+    run = L.prepare(A.directives(spark, sf))
+    new, skipped = tx.split_new(run.ids, cleared(run.fresh))
     return (new.select(F.lit("new").alias("part"), "seq", "external_id")
             .unionByName(skipped.select(F.lit("skipped").alias("part"), "seq", "external_id")))
 
@@ -397,7 +398,7 @@ FINGERPRINT = """SELECT sha256(string_agg(h, '' ORDER BY h)) AS fingerprint FROM
 
 @query("a20_state_fingerprint", FINGERPRINT.format(source="kept"), "kept")
 def a20(spark, sf):
-    return state.state_fingerprint(state.run_hashes(with_ids(spark, sf)))
+    return state.state_fingerprint(state.run_hashes(L.prepare(A.directives(spark, sf)).ids))
 
 
 @query("a21_check_sync", f"""SELECT sha256(joined) AS current_hash, sha256(joined) AS stored_hash, true AS in_sync FROM ({HASHES})""", "kept")
@@ -413,7 +414,8 @@ def a21(spark, sf):
         nth > 1 OR external_id IN (SELECT external_id FROM kept WHERE flag = '*') AS skip
       FROM (SELECT *, row_number() OVER (PARTITION BY external_id ORDER BY seq) AS nth FROM ids) ids) GROUP BY ROLLUP (chunk)""", "ids kept")
 def a22(spark, sf):
-    return L.load_report(with_ids(spark, sf), stored(spark, sf))
+    d = A.directives(spark, sf)
+    return L.load_report(L.prepare(d, cleared(kept(spark, sf))))
 
 
 # ---- loading -------------------------------------------------------------------------
@@ -501,7 +503,7 @@ def j7(spark, sf):
 @query("snk5_save_state", FINGERPRINT.format(source="kept").replace("AS fingerprint", "AS last_successful_hash, 1 AS id"), "kept")
 def snk5(spark, sf):
     root = new_folder(spark, "ledger")
-    hashes = state.run_hashes(with_ids(spark, sf))
+    hashes = state.run_hashes(L.prepare(A.directives(spark, sf)).ids)
     store.save_state(spark, root, state.state_hash(hashes.limit(0)))
     store.save_state(spark, root, state.state_fingerprint(hashes, "state_hash"))
     return store.read_table(spark, root, "import_state").select("id", "last_successful_hash")
@@ -525,7 +527,7 @@ def snk6(spark, sf):
     led = L.ledger_of(d)
     for fact in ["balance_assertions", "prices", "ledger_events", "ledger_documents"]:
         led[fact] = led[fact].limit(0)
-    led["transactions"] = led["transactions"].filter("flag = '*'")
+    led["transactions"] = cleared(led["transactions"])
     return L.preview(d, led)
 
 
@@ -542,8 +544,7 @@ def snk7(spark, sf):
 def st1(spark, sf):
     src, root, checkpoint = (new_folder(spark, n) for n in ["arriving", "ledger", "checkpoint"])
     d = A.directives(spark, sf)
-    rows = run_ids_given(D.valid_transactions(d, strict=False)).unionByName(
-        d.filter("kind <> 'transaction'"))
+    rows = run_ids_given(d).unionByName(d.filter("kind <> 'transaction'"))
     rows.write.parquet(src)
     stream_ingest(spark, src, root, checkpoint, max_files=3)
     stream_ingest(spark, src, root, checkpoint, max_files=3)          # finds nothing new
@@ -592,10 +593,11 @@ def dq5(spark, sf):
 @query("dq6_duplicate_report", """SELECT i.external_id, i.date, i.narration, i.source_file, i.source_line, k.date AS stored_date,
     k.source_file AS stored_file, k.source_line AS stored_line FROM ids i JOIN kept k ON k.external_id = i.external_id WHERE k.flag = '*'""", "ids kept")
 def dq6(spark, sf):
-    new = with_ids(spark, sf)
-    return tx.duplicate_report(new, stored(spark, sf))
+    run = L.prepare(A.directives(spark, sf))
+    new = run.ids.drop("content_hash").join(run.directives.filter("kind = 'transaction'"), "seq")
+    return tx.duplicate_report(new, cleared(run.fresh))
 
 
 @query("dq_quality_report")
 def dq_all(spark, sf):
-    return quality.quality_report(L.ledger_of(A.directives(spark, sf)))
+    return quality.quality_report(store.read_ledger(spark, loaded(spark, sf)))

@@ -1,18 +1,20 @@
 """Row numbers over groups of any size.
 
-A plain row_number() puts a whole group into one task. Groups above 2**20 rows, found by
-a map-side combined count, are therefore cut into runs of 2**20 values of their BIGINT
-order column, which must be unique inside the group; rows are numbered inside a run and
-the runs' counts are summed in front of them. No window partition holds more than 2**24
-rows whatever the data, every run is a separate shuffle key, and nothing depends on how
-Spark happened to partition the input. Without such groups that branch is empty and
-Spark drops it at run time."""
+A plain row_number() puts a whole group into one task. Here repeated keys are found first,
+by a map-side combined count that is staged. Their rows are numbered by an ordinary window
+as long as no group exceeds 2**20 rows. Larger groups are cut into runs of 2**20 values of
+their BIGINT order column, which must be unique inside the group; rows are numbered inside
+a run and the runs' counts are summed in front of them. No window partition then holds more
+than 2**24 rows whatever the data, every run is a shuffle key of its own, and nothing
+depends on how Spark happened to partition the input."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.sources.workspace import Workspace, workspace
+
 RUN_BITS = 20
 
 
@@ -40,29 +42,42 @@ def number_runs(df: DataFrame, keys: list[str], order: str, name: str = "n", run
 
 
 def number_groups(df: DataFrame, key: str, order: str, name: str = "n", least: int = 1,
-                  run_bits: int = RUN_BITS) -> DataFrame:
+                  work: Workspace | None = None, run_bits: int = RUN_BITS) -> DataFrame:
     """(key, order, n): rows numbered inside their key's group, groups below `least` rows left out.
 
-    Null keys take no part. With least=2 only the rows of repeated keys are numbered."""
+    Null keys take no part. With least=2 only the rows of repeated keys move: the staged
+    list of those keys has a known size, so Spark broadcasts it where it is small."""
     rows = df.select(key, order).filter(F.col(key).isNotNull())
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= least)
-    members = rows.join(sizes, key)
+    repeated = workspace(df, work).stage(
+        rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1"), "repeated")
     is_hot = F.col("_rows") > 2 ** run_bits
-    cold = members.filter(~is_hot).select(
-        key, order, F.row_number().over(Window.partitionBy(key).orderBy(order)).cast("bigint").alias(name))
-    hot = number_runs(members.filter(is_hot).select(key, order), [key], order, name, run_bits)
-    return cold.unionByName(hot)
-
-
-def first_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
+    members = rows.join(repeated, key)
+    in_group = F.row_number().over(Window.partitionBy(key).orderBy(order)).cast("bigint").alias(name)
+    if repeated.filter(is_hot).isEmpty():
+        out = members.select(key, order, in_group)
+    else:
+        hot = number_runs(members.filter(is_hot).select(key, order), [key], order, name, run_bits)
+        out = members.filter(~is_hot).select(key, order, in_group).unionByName(hot)
+    if least > 1:
+        return out
+    single = rows.join(repeated, key, "left_anti").select(key, order, F.lit(1).cast("bigint").alias(name))
+    return out.unionByName(single)
+
+
+def later_repeats(rows: DataFrame, key: str, order: str, work: Workspace | None = None) -> DataFrame:
+    """`order` values of rows whose key occurred before, in a narrow frame (key, order)."""
+    firsts = workspace(rows, work).stage(
+        rows.groupBy(key).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        .filter("_rows > 1").drop("_rows"), "firsts")
+    return rows.join(firsts, key).filter(F.col(order) > F.col("_first")).select(order)
+
+
+def first_by_key(df: DataFrame, key: str, order: str, work: Workspace | None = None) -> DataFrame:
     """Keep the first row of each key by `order`, which must be unique.
 
     Only (key, order) is shuffled; the wide rows lose the later ones by an anti join
     on the evenly spread order column."""
-    rows = df.select(key, order)
-    firsts = (rows.groupBy(key).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-              .filter("_rows > 1").drop("_rows"))
-    later = rows.join(firsts, key).filter(F.col(order) > F.col("_first")).select(order)
+    later = later_repeats(df.select(key, order), key, order, work)
     return df.join(later, order, "left_anti").select(*df.columns)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import identity as I
 from daybook.operators.numbering import number_groups
+from daybook.sources.workspace import Workspace, workspace
 
 
 class DuplicateIds(ValueError):
@@ -36,39 +37,52 @@ def with_base(t: DataFrame) -> DataFrame:
     return with_content_hash(t).withColumn("_base", F.when(explicit_id().isNull(), F.col("content_hash")))
 
 
-def repeat_numbers(t: DataFrame) -> DataFrame:
+def repeat_numbers(t: DataFrame, work: Workspace | None = None) -> DataFrame:
     """(seq, n) of generated ids that are the second or later of their hash, in import order."""
-    return number_groups(with_base(t), "_base", "seq", least=2).filter("n > 1").select("seq", "n")
+    return number_groups(with_base(t), "_base", "seq", least=2, work=work).filter("n > 1").select("seq", "n")
 
 
-def external_ids(t: DataFrame, repeats: DataFrame | None = None) -> DataFrame:
+def numbered_ids(t: DataFrame, changed: DataFrame) -> DataFrame:
+    """Add external_id, given the rows of `changed` (seq, n): n >= 2 gets a suffix, n = 0 is dropped.
+
+    All other rows carry their bare hash or given id and are not shuffled when the list is small."""
+    rows = with_content_hash(t).join(changed, "seq", "left").filter("coalesce(n, 1) > 0")
+    suffix = F.when(F.col("n") > 1, F.concat(F.lit("-"), F.col("n").cast("string"))).otherwise("")
+    return rows.withColumn("external_id", F.coalesce(explicit_id(), F.concat("content_hash", suffix))).drop("n")
+
+
+def external_ids(t: DataFrame, work: Workspace | None = None) -> DataFrame:
     """Add external_id and content_hash to transactions.
 
     Hashes are computed inside the row; only rows that need a suffix are joined back."""
-    repeats = repeat_numbers(t) if repeats is None else repeats
-    suffix = F.when(F.col("n") > 1, F.concat(F.lit("-"), F.col("n").cast("string"))).otherwise("")
-    return (with_base(t).join(repeats, "seq", "left")
-            .withColumn("external_id", F.coalesce(explicit_id(), F.concat("_base", suffix)))
-            .drop("_base", "n"))
+    work = workspace(t, work)
+    if "content_hash" in t.columns:
+        base = t
+    else:
+        base = work.stage(with_base(t).select("seq", "content_hash", F.create_map(
+            F.lit("transaction_id"), explicit_id()).alias("meta")), "base")
+    return numbered_ids(t, work.stage(repeat_numbers(base, work), "repeats"))
 
 
-def collision_ids(df: DataFrame, base: str, seq: str, name: str = "external_id") -> DataFrame:
+def collision_ids(df: DataFrame, base: str, seq: str, name: str = "external_id",
+                  work: Workspace | None = None) -> DataFrame:
     """First row of a base keeps the bare hash, the n-th gets hash-n."""
-    later = number_groups(df, base, seq, least=2).filter("n > 1").select(seq, "n")
+    later = number_groups(df, base, seq, least=2, work=work).filter("n > 1").select(seq, "n")
     return (df.join(later, seq, "left")
             .withColumn(name, F.when(F.col("n").isNull(), F.col(base))
                         .otherwise(F.concat_ws("-", F.col(base), F.col("n").cast("string"))))
             .select(*df.columns, name))
 
 
-def kept_dup_ids(df: DataFrame, base: str, seq: str, kept: str, name: str = "external_id") -> DataFrame:
+def kept_dup_ids(df: DataFrame, base: str, seq: str, kept: str, name: str = "external_id",
+                 work: Workspace | None = None) -> DataFrame:
     """Kept duplicates get hash-dup-1, -dup-2, … apart from the ordinary numbering."""
-    dups = number_groups(df.filter(F.col(kept)), base, seq, "_dup").select(seq, "_dup")
-    plain = collision_ids(df.filter(~F.col(kept)), base, seq, name)
-    marked = (df.filter(F.col(kept)).join(dups, seq)
-              .withColumn(name, F.concat(F.col(base), F.lit(I.KEPT_MARK), F.col("_dup").cast("string")))
-              .select(*df.columns, name))
-    return plain.unionByName(marked)
+    marked = df.filter(F.col(kept))
+    later = number_groups(marked, base, seq, least=2, work=work).filter("n > 1").select(seq, "n")
+    dups = (marked.join(later, seq, "left")
+            .withColumn(name, F.concat(F.col(base), F.lit(I.KEPT_MARK), F.coalesce("n", F.lit(1)).cast("string")))
+            .select(*df.columns, name))
+    return collision_ids(df.filter(~F.col(kept)), base, seq, name, work).unionByName(dups)
 
 
 def id_stats(df: DataFrame, base: str = "_base") -> DataFrame:

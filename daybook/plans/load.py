@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,26 +13,48 @@ from daybook.functions.metadata import stored_meta
 from daybook.operators import facts, registries, state
 from daybook.operators import transactions as tx
 from daybook.operators.directives import has_invalid_posting, valid_transactions
-from daybook.operators.numbering import number_runs
+from daybook.operators.numbering import later_repeats, number_runs
 from daybook.schema import CHILDREN, SOURCED
 from daybook.sources import store
-from daybook.sources.workspace import Workspace
+from daybook.sources.workspace import Workspace, workspace
 
 POLICIES = ["skip", "error"]
 
 
-def not_loaded(ids: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """(seq, reason) of transactions a load skips: 'repeat' of an earlier one in the run, or 'stored'.
+@dataclass
+class Run:
+    """A run of directives with its ids worked out.
 
-    `ids` is a narrow frame (seq, external_id)."""
-    firsts = (ids.groupBy("external_id").agg(F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-              .filter("_rows > 1").drop("_rows"))
-    repeats = (ids.join(firsts, "external_id").filter(F.col("seq") > F.col("_first"))
-               .select("seq", F.lit("repeat").alias("reason")))
-    if stored is None:
-        return repeats
-    old = tx.split_new(ids, stored)[1].select("seq", F.lit("stored").alias("reason"))
-    return old.unionByName(repeats).groupBy("seq").agg(F.max("reason").alias("reason"))
+    `directives` is staged in kind folders with the content hash of every transaction;
+    `ids` (seq, external_id, content_hash) and `skipped` (seq, reason) are narrow staged
+    tables; `fresh` are the transactions to store, a lazy scan of the staged directives."""
+
+    directives: DataFrame
+    ids: DataFrame
+    skipped: DataFrame
+    fresh: DataFrame
+
+
+def prepare(d: DataFrame, stored: DataFrame | None = None, work: Workspace | None = None, strict: bool = False) -> Run:
+    """Read the input once, number its ids and find what a load skips: a 'repeat' of an earlier
+    id of the run, or an id 'stored' already.
+
+    Every later step reads only the columns and kinds it needs. Rows that need a suffix or
+    are skipped form a narrow table; all others are never shuffled before they are written."""
+    work = workspace(d, work)
+    staged = work.stage(tx.with_content_hash(d), "directives", "kind")
+    t = valid_transactions(staged, strict)
+    repeats = work.stage(tx.repeat_numbers(t, work), "repeats")
+    ids = work.stage(tx.numbered_ids(t, repeats).select("seq", "external_id", "content_hash"), "ids")
+    keys = ids.select("seq", "external_id")
+    skipped = later_repeats(keys, "external_id", "seq", work).select("seq", F.lit("repeat").alias("reason"))
+    if stored is not None:
+        old = tx.split_new(keys, stored)[1].select("seq", F.lit("stored").alias("reason"))
+        skipped = old.unionByName(skipped).groupBy("seq").agg(F.max("reason").alias("reason"))
+    skipped = work.stage(skipped, "skipped")
+    changed = (repeats.unionByName(skipped.select("seq", F.lit(0).cast("bigint").alias("n")))
+               .groupBy("seq").agg(F.min("n").alias("n")))
+    return Run(staged, ids, skipped, tx.numbered_ids(t, changed))
 
 
 def registry_rows(d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
@@ -73,53 +96,34 @@ def new_rows(t: DataFrame, d: DataFrame, led: dict[str, DataFrame] | None) -> di
     return transaction_rows(t) | registry_rows(d, led) | fact_rows(d, led)
 
 
-def ledger_of(d: DataFrame) -> dict[str, DataFrame]:
-    """All tables of a ledger that holds just this run, as a lazy plan."""
-    t = tx.external_ids(valid_transactions(d, strict=False))
-    fresh = t.join(not_loaded(t.select("seq", "external_id"), None), "seq", "left_anti")
-    return new_rows(fresh, d, None)
+def ledger_of(d: DataFrame, work: Workspace | None = None) -> dict[str, DataFrame]:
+    """All tables of a ledger that holds just this run."""
+    run = prepare(d, work=work)
+    return new_rows(run.fresh, run.directives, None)
 
 
 def load_batch(spark: SparkSession, d: DataFrame, root: str, version: int, batch: int, *, on_duplicate: str = "skip",
                resume: bool = False, strict: bool = True, with_state: bool = True, stream: str = "",
                epoch: int | None = None) -> DataFrame:
-    """Load one run as one batch and return its report (action, n).
-
-    The input is parsed once, into a staged table in kind folders that carries the content
-    hash; every later step reads only the columns and kinds it needs. Rows that need a
-    suffix or are skipped form a narrow staged table; all others are never shuffled before
-    they are written."""
+    """Load one run as one batch and return its report (action, n)."""
     if on_duplicate not in POLICIES:
         raise ValueError(f"on_duplicate must be one of {POLICIES}")
     led = store.read_ledger(spark, root, version, batch - 1)
     with Workspace(spark, "load") as work:
-        d = work.stage(tx.with_content_hash(d), "directives", "kind")
-        t = valid_transactions(d, strict)
-        repeats = work.stage(tx.repeat_numbers(t), "repeats")
-        ids = work.stage(tx.external_ids(t, repeats).select("seq", "external_id", "content_hash"), "ids")
-        skipped = work.stage(not_loaded(ids.select("seq", "external_id"), led["transactions"]), "skipped")
-        if on_duplicate == "error" and not resume and not skipped.isEmpty():
-            seq, reason = skipped.limit(1).collect()[0]
+        run = prepare(d, led["transactions"], work, strict)
+        if on_duplicate == "error" and not resume and not run.skipped.isEmpty():
+            seq, reason = run.skipped.limit(1).collect()[0]
             raise tx.DuplicateIds(f"transaction {seq} repeats an id ({reason})")
-        changed = repeats.unionByName(skipped.select("seq", F.lit(0).alias("n"))).groupBy("seq").agg(
-            F.min("n").alias("n"))
-        tables = new_rows(_fresh(t, changed), d, led)
+        tables = new_rows(run.fresh, run.directives, led)
         if with_state:
-            tables["import_state"] = store.state_row(state.state_hash(state.run_hashes(ids)))
+            tables["import_state"] = store.state_row(state.state_hash(state.run_hashes(run.ids)))
         store.write_batch(spark, tables, root, version, batch, stream, epoch)
-        total, dropped = ids.count(), skipped.count()
-        rejected = 0 if strict else d.filter((F.col("kind") == "transaction") & has_invalid_posting()).count()
+        total, dropped = run.ids.count(), run.skipped.count()
+        rejected = 0 if strict else run.directives.filter((F.col("kind") == "transaction") & has_invalid_posting()).count()
     return spark.createDataFrame(
         [("processed", total - dropped), ("skipped", dropped), ("rejected", rejected)], "action string, n bigint")
 
 
-def _fresh(t: DataFrame, changed: DataFrame) -> DataFrame:
-    """Transactions to store, from one join with the rows to number (n >= 2) or to drop (n = 0)."""
-    given = t.join(changed, "seq", "left").filter("coalesce(n, 1) > 0")
-    suffix = F.when(F.col("n") > 1, F.concat(F.lit("-"), F.col("n").cast("string"))).otherwise("")
-    return given.withColumn("external_id", F.coalesce(tx.explicit_id(), F.concat("content_hash", suffix))).drop("n")
-
-
 def load(spark: SparkSession, d: DataFrame, root: str, *, on_duplicate: str = "skip", resume: bool = False,
          strict: bool = True, with_state: bool = True) -> DataFrame:
     """Append a run to the ledger at `root`; loading the same run again adds nothing.
@@ -179,8 +183,9 @@ def preview(d: DataFrame, led: dict[str, DataFrame]) -> DataFrame:
 
     Rows of the transaction tables are counted from the arrays and maps of the directives in
     a single aggregate; nothing is exploded."""
-    t = tx.external_ids(valid_transactions(d, strict=False))
-    skipped = not_loaded(t.select("seq", "external_id"), led["transactions"]).select("seq", F.lit(True).alias("_skip"))
+    run = prepare(d, led["transactions"])
+    d, t = run.directives, run.directives.filter("kind = 'transaction'").filter(~has_invalid_posting())
+    skipped = run.skipped.select("seq", F.lit(True).alias("_skip"))
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
     labels = lambda c: F.array_compact(F.array_distinct(c))
     post_meta = F.aggregate(F.transform("postings", lambda p: F.greatest(F.size(stored_meta(p["meta"])), F.lit(0))),
@@ -212,13 +217,10 @@ def _count(df: DataFrame, table: str, action: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(table).alias("table"), F.lit(action).alias("action"), "n")
 
 
-def load_report(t: DataFrame, stored: DataFrame, chunk_size: int = 500) -> DataFrame:
-    """Processed and skipped transactions per chunk of the import order, and in total (chunk null).
-
-    `t` carries seq and external_id."""
-    ids = t.select("seq", "external_id")
-    skipped = not_loaded(ids, stored).select("seq", F.lit(1).alias("skip"))
-    numbered = number_runs(ids.select("seq"), [], "seq").join(skipped, "seq", "left")
+def load_report(run: Run, chunk_size: int = 500) -> DataFrame:
+    """Processed and skipped transactions per chunk of the import order, and in total (chunk null)."""
+    skipped = run.skipped.select("seq", F.lit(1).alias("skip"))
+    numbered = number_runs(run.ids.select("seq"), [], "seq").join(skipped, "seq", "left")
     chunk = F.floor((F.col("n") - 1) / chunk_size).cast("bigint") + 1
     return (numbered.withColumn("chunk", chunk).rollup("chunk")
             .agg(F.count_if(F.col("skip").isNull()).alias("processed"), F.count_if(F.col("skip") == 1).alias("skipped")))
@@ -226,7 +228,7 @@ def load_report(t: DataFrame, stored: DataFrame, chunk_size: int = 500) -> DataF
 
 def source_state(d: DataFrame, exact_limit: int = state.EXACT_LIMIT) -> DataFrame:
     """State hash of a run of directives."""
-    return state.state_hash(state.run_hashes(tx.external_ids(valid_transactions(d, strict=False))), exact_limit)
+    return state.state_hash(state.run_hashes(prepare(d).ids), exact_limit)
 
 
 def check(spark: SparkSession, d: DataFrame, root: str) -> DataFrame:

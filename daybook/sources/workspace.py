@@ -41,10 +41,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 class Workspace:
-    """Staged tables of one job; leaving the context deletes them."""
+    """Staged tables of one job; as a context manager it deletes them in the end.
+
+    Functions that return a lazy frame over staged tables use an own workspace that stays,
+    as checkpoint files do."""
 
     def __init__(self, spark: SparkSession, name: str = "work"):
         self.spark, self.path = spark, new_folder(spark, name)
+        self._n = 0
 
     def __enter__(self) -> "Workspace":
         return self
@@ -55,7 +59,13 @@ class Workspace:
 
     def stage(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         """Write and read back."""
-        path = f"{self.path}/{name}"
+        self._n += 1
+        path = f"{self.path}/{self._n}-{name}"
         schema = df.schema
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
+
+
+def workspace(df: DataFrame, work: Workspace | None) -> Workspace:
+    """The given workspace, or a new one in the frame's session."""
+    return work or Workspace(df.sparkSession)
