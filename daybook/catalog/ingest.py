@@ -254,7 +254,7 @@ def e2(spark, sf):
 
 @query("e3_content_hash", "SELECT seq, sha256(hash_input) AS content_hash FROM hash_in", "hash_in")
 def e3(spark, sf):
-    return tx.with_content_hash(txns(spark, sf)).select("seq", "content_hash")
+    return tx.identified(txns(spark, sf)).select("seq", "content_hash")
 
 
 @query("e4_hash_components", "SELECT seq, hash_input, sha256(hash_input) AS hash FROM hash_in", "hash_in")

@@ -12,9 +12,9 @@ NO_ACCOUNT = "Unknown"
 FALLBACK_PREFIX = "fallback_"
 KEPT_MARK = "-dup-"
 
-# Whitespace as Python's str.strip() sees it.
-_BLANKS = r"(?U)[\s\x1c-\x1f]"
-_EDGES = rf"^(?:{_BLANKS})+|(?:{_BLANKS})+$"
+# What counts as whitespace around a value (fixed values).
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+              "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def _col(c) -> Column:
@@ -23,7 +23,7 @@ def _col(c) -> Column:
 
 def strip(c) -> Column:
     """Trim all whitespace, not only spaces."""
-    return F.regexp_replace(_col(c), _EDGES, "")
+    return F.trim(_col(c), F.lit(WHITESPACE))
 
 
 def is_blank(c) -> Column:
@@ -105,7 +105,8 @@ _DATE = r"^\d{4}-(1[0-2]|0?[1-9])-(3[01]|[12]\d|0?[1-9])$"
 def strict_errors(date, payee, narration, amount, account) -> Column:
     """Name of the first rule the input breaks, null if it may be hashed strictly."""
     day = strip(date)
-    first_token = F.regexp_replace(F.regexp_extract(strip(amount), rf"^((?:(?!{_BLANKS}).)*)", 1), "_", "")
+    spaced = F.translate(strip(amount), WHITESPACE, " " * len(WHITESPACE))
+    first_token = F.replace(F.substring_index(spaced, " ", 1), F.lit("_"), F.lit(""))
     real_day = day.rlike(_DATE) & ~day.startswith("0000") & F.try_to_date(day, "yyyy-M-d").isNotNull()
     return (F.when(is_blank(date), "date is blank")
             .when(~real_day, "date is not a real YYYY-MM-DD date")

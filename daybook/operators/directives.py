@@ -45,16 +45,20 @@ def invalid_postings(d: DataFrame) -> DataFrame:
                     .otherwise("amount has no number").alias("reason")))
 
 
+def assert_valid(d: DataFrame) -> None:
+    """Raise on the first rejected posting."""
+    bad = invalid_postings(d).limit(1).collect()
+    if bad:
+        b = bad[0]
+        raise InvalidPostings(f"posting {b.position} of '{b.narration}' at "
+                              f"{b.source_file}:{b.source_line}, account {b.account}: {b.reason}")
+
+
 def valid_transactions(d: DataFrame, strict: bool = True) -> DataFrame:
-    """Transactions whose postings all have amounts. Strict mode raises on the first bad one."""
-    t = of_kind(d, "transaction")
+    """Transactions whose postings all have amounts. Strict mode raises if others exist."""
     if strict:
-        bad = invalid_postings(d).limit(1).collect()
-        if bad:
-            b = bad[0]
-            raise InvalidPostings(f"posting {b.position} of '{b.narration}' at "
-                                  f"{b.source_file}:{b.source_line}, account {b.account}: {b.reason}")
-    return t.filter(~has_invalid_posting())
+        assert_valid(d)
+    return of_kind(d, "transaction").filter(~has_invalid_posting())
 
 
 def affected(d: DataFrame, names: list[str]) -> DataFrame:

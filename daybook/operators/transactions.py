@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import identity as I
@@ -14,53 +14,45 @@ class DuplicateIds(ValueError):
     """Raised when duplicates are treated as errors."""
 
 
-def explicit_id() -> Column:
-    """Id given in the metadata, used unchanged."""
-    return F.col("meta")["transaction_id"]
+def identified(t: DataFrame) -> DataFrame:
+    """Add given_id, the id found in the metadata, used unchanged, and content_hash, the hash of the
+    transaction's identifying content, which ignores a given id and carries no suffix.
 
-
-def with_content_hash(t: DataFrame) -> DataFrame:
-    """Add content_hash: the hash of the transaction's identifying content. It ignores a given
-    id and carries no suffix. A frame that has the column already is returned as it is."""
+    Other directives get neither. A frame that has the columns already is returned as it is."""
     if "content_hash" in t.columns:
         return t
-    return (t.withColumn("_pick", I.id_posting("postings", F.col("meta")["source_account"]))
+    is_transaction = F.col("kind") == "transaction"
+    hashed = I.external_id_base("date", "payee", "narration", F.coalesce("_pick.amount_text", F.lit(I.NO_AMOUNT)),
+                                "_account", F.concat_ws(":", "source_file", "source_line", "seq"))
+    return (t.withColumn("_pick", F.when(is_transaction, I.id_posting("postings", F.col("meta")["source_account"])))
             .withColumn("_account", F.coalesce("_pick.account", F.lit(I.NO_ACCOUNT)))
-            .withColumn("content_hash", I.external_id_base(
-                "date", "payee", "narration", F.coalesce("_pick.amount_text", F.lit(I.NO_AMOUNT)), "_account",
-                F.concat_ws(":", "source_file", "source_line", "seq")))
+            .withColumn("content_hash", F.when(is_transaction, hashed))
+            .withColumn("given_id", F.when(is_transaction, F.col("meta")["transaction_id"]))
             .drop("_pick", "_account"))
 
 
-def with_base(t: DataFrame) -> DataFrame:
-    """Add content_hash and _base, the hash that takes part in numbering (null for given ids)."""
-    return with_content_hash(t).withColumn("_base", F.when(explicit_id().isNull(), F.col("content_hash")))
-
-
 def repeat_numbers(t: DataFrame, work: Workspace | None = None) -> DataFrame:
     """(seq, n) of generated ids that are the second or later of their hash, in import order."""
-    return number_groups(with_base(t), "_base", "seq", least=2, work=work).filter("n > 1").select("seq", "n")
+    generated = identified(t).filter("given_id IS NULL").select("seq", "content_hash")
+    return number_groups(generated, "content_hash", "seq", least=2, work=work).filter("n > 1").select("seq", "n")
 
 
 def numbered_ids(t: DataFrame, changed: DataFrame) -> DataFrame:
     """Add external_id, given the rows of `changed` (seq, n): n >= 2 gets a suffix, n = 0 is dropped.
 
     All other rows carry their bare hash or given id and are not shuffled when the list is small."""
-    rows = with_content_hash(t).join(changed, "seq", "left").filter("coalesce(n, 1) > 0")
+    rows = identified(t).join(changed, "seq", "left").filter("coalesce(n, 1) > 0")
     suffix = F.when(F.col("n") > 1, F.concat(F.lit("-"), F.col("n").cast("string"))).otherwise("")
-    return rows.withColumn("external_id", F.coalesce(explicit_id(), F.concat("content_hash", suffix))).drop("n")
+    return rows.withColumn("external_id", F.coalesce("given_id", F.concat("content_hash", suffix))).drop("n")
 
 
 def external_ids(t: DataFrame, work: Workspace | None = None) -> DataFrame:
-    """Add external_id and content_hash to transactions.
+    """Add external_id, given_id and content_hash to transactions.
 
     Hashes are computed inside the row; only rows that need a suffix are joined back."""
     work = workspace(t, work)
-    if "content_hash" in t.columns:
-        base = t
-    else:
-        base = work.stage(with_base(t).select("seq", "content_hash", F.create_map(
-            F.lit("transaction_id"), explicit_id()).alias("meta")), "base")
+    base = t if "content_hash" in t.columns else work.stage(
+        identified(t).select("seq", "content_hash", "given_id"), "base")
     return numbered_ids(t, work.stage(repeat_numbers(base, work), "repeats"))
 
 
@@ -85,7 +77,7 @@ def kept_dup_ids(df: DataFrame, base: str, seq: str, kept: str, name: str = "ext
     return collision_ids(df.filter(~F.col(kept)), base, seq, name, work).unionByName(dups)
 
 
-def id_stats(df: DataFrame, base: str = "_base") -> DataFrame:
+def id_stats(df: DataFrame, base: str) -> DataFrame:
     """Generated ids, hashes that collided, highest suffix (0 if none)."""
     per = df.filter(F.col(base).isNotNull()).groupBy(base).agg(F.count(F.lit(1)).alias("c"))
     return per.agg(
@@ -128,7 +120,7 @@ def invalid_transactions(d: DataFrame) -> DataFrame:
     error = (F.when(F.col("_pick").isNull(), "no posting with an account")
              .otherwise(I.strict_errors(F.col("date").cast("string"), "payee", "narration",
                                         "_pick.amount_text", "_pick.account")))
-    return (d.filter((F.col("kind") == "transaction") & explicit_id().isNull())
+    return (d.filter((F.col("kind") == "transaction") & F.col("meta")["transaction_id"].isNull())
             .withColumn("_pick", I.id_posting("postings", F.col("meta")["source_account"]))
             .withColumn("error", error).filter(F.col("error").isNotNull())
             .select("seq", "date", "narration", "source_file", "source_line", "error"))

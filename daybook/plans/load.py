@@ -12,20 +12,23 @@ from daybook.functions.accounts import basename
 from daybook.functions.metadata import stored_meta
 from daybook.operators import facts, registries, state
 from daybook.operators import transactions as tx
-from daybook.operators.directives import has_invalid_posting, valid_transactions
+from daybook.operators.directives import assert_valid, has_invalid_posting, of_kind
 from daybook.operators.numbering import later_repeats, number_runs
 from daybook.schema import CHILDREN, SOURCED
 from daybook.sources import store
 from daybook.sources.workspace import Workspace, workspace
 
 POLICIES = ["skip", "error"]
+TRANSACTION_COLUMNS = ["seq", "date", "source_file", "source_line", "flag", "payee", "narration", "tags", "links",
+                       "meta", "postings", "given_id", "content_hash", "invalid"]
 
 
 @dataclass
 class Run:
     """A run of directives with its ids worked out.
 
-    `directives` is staged in kind folders with the content hash of every transaction;
+    `directives` is staged, transactions apart from other kinds and with their given_id,
+    content_hash and invalid flag, so that the steps on ids read no nested column;
     `ids` (seq, external_id, content_hash) and `skipped` (seq, reason) are narrow staged
     tables; `fresh` are the transactions to store, a lazy scan of the staged directives."""
 
@@ -42,8 +45,15 @@ def prepare(d: DataFrame, stored: DataFrame | None = None, work: Workspace | Non
     Every later step reads only the columns and kinds it needs. Rows that need a suffix or
     are skipped form a narrow table; all others are never shuffled before they are written."""
     work = workspace(d, work)
-    staged = work.stage(tx.with_content_hash(d), "directives", "kind")
-    t = valid_transactions(staged, strict)
+    marked = tx.identified(of_kind(d, "transaction")).withColumn("invalid", has_invalid_posting())
+    # two jobs side by side: nested transaction rows, and the flat rows of all other kinds
+    both = work.stage_all({"transactions": (marked.select(*TRANSACTION_COLUMNS), []),
+                           "others": (d.filter("kind <> 'transaction'").drop("postings", "tags", "links"), ["kind"])})
+    all_t = both["transactions"].withColumn("kind", F.lit("transaction"))
+    staged = all_t.unionByName(both["others"], allowMissingColumns=True)
+    if strict and not all_t.filter("invalid").isEmpty():
+        assert_valid(all_t)
+    t = all_t.filter("NOT invalid")
     repeats = work.stage(tx.repeat_numbers(t, work), "repeats")
     ids = work.stage(tx.numbered_ids(t, repeats).select("seq", "external_id", "content_hash"), "ids")
     keys = ids.select("seq", "external_id")
@@ -119,7 +129,7 @@ def load_batch(spark: SparkSession, d: DataFrame, root: str, version: int, batch
             tables["import_state"] = store.state_row(state.state_hash(state.run_hashes(run.ids)))
         store.write_batch(spark, tables, root, version, batch, stream, epoch)
         total, dropped = run.ids.count(), run.skipped.count()
-        rejected = 0 if strict else run.directives.filter((F.col("kind") == "transaction") & has_invalid_posting()).count()
+        rejected = 0 if strict else run.directives.filter("kind = 'transaction' AND invalid").count()
     return spark.createDataFrame(
         [("processed", total - dropped), ("skipped", dropped), ("rejected", rejected)], "action string, n bigint")
 
@@ -184,7 +194,7 @@ def preview(d: DataFrame, led: dict[str, DataFrame]) -> DataFrame:
     Rows of the transaction tables are counted from the arrays and maps of the directives in
     a single aggregate; nothing is exploded."""
     run = prepare(d, led["transactions"])
-    d, t = run.directives, run.directives.filter("kind = 'transaction'").filter(~has_invalid_posting())
+    d, t = run.directives, run.directives.filter("kind = 'transaction' AND NOT invalid")
     skipped = run.skipped.select("seq", F.lit(True).alias("_skip"))
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
     labels = lambda c: F.array_compact(F.array_distinct(c))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +49,6 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str = "work"):
         self.spark, self.path = spark, new_folder(spark, name)
-        self._n = 0
 
     def __enter__(self) -> "Workspace":
         return self
@@ -59,12 +59,17 @@ class Workspace:
 
     def stage(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         """Write and read back."""
-        self._n += 1
-        path = f"{self.path}/{self._n}-{name}"
+        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         schema = df.schema
         df.write.partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
+    def stage_all(self, frames: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, DataFrame]:
+        """Stage several frames, each with its partition columns, as concurrent jobs."""
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            jobs = {name: pool.submit(self.stage, df, name, *by) for name, (df, by) in frames.items()}
+            return {name: job.result() for name, job in jobs.items()}
+
 
 def workspace(df: DataFrame, work: Workspace | None) -> Workspace:
     """The given workspace, or a new one in the frame's session."""
