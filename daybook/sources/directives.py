@@ -19,13 +19,14 @@ class CriticalErrors(ValueError):
 
 
 def _read(spark: SparkSession, paths: list[str], fmt: str) -> DataFrame:
-    schema = DIRECTIVE
-    reader = spark.read
     if fmt == "json":
         schema = T.StructType(DIRECTIVE.fields + [T.StructField(CORRUPT, T.StringType())])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.schema(schema).format(fmt).load(paths)
-    return df.withColumn("source_file", F.coalesce("source_file", F.col("_metadata.file_path")))
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        lines = spark.read.format("text").load(paths).filter(F.trim("value") != "")
+        df = lines.select(F.from_json("value", schema, options).alias("r"), "_metadata.file_path").select("r.*", "file_path")
+    else:
+        df = spark.read.schema(DIRECTIVE).format(fmt).load(paths).withColumn("file_path", F.col("_metadata.file_path"))
+    return df.withColumn("source_file", F.coalesce("source_file", "file_path")).drop("file_path")
 
 
 def read_directives(spark: SparkSession, paths: str | list[str], fmt: str = "json") -> DataFrame:
