@@ -206,23 +206,34 @@ def link_pairs(spark: SparkSession, sf: str) -> DataFrame:
         "CAST(o_orderkey AS string) AS external_id", "concat('inv-', CAST(o_custkey % 50 AS string)) AS link")
 
 
+class _OnDemand(dict):
+    """Table frames that are planned when first asked for."""
+
+    def __init__(self, makers):
+        super().__init__()
+        self._makers = makers
+
+    def __missing__(self, table):
+        self[table] = self._makers[table]()
+        return self[table]
+
+
 def flat_ledger(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The line item ledger as table frames."""
-    postings = line_postings(spark, sf)
-    names = postings.select("account").distinct()
-    currencies = (postings.select(F.explode(F.array("currency", "cost_currency", "price_currency")).alias("name"))
-                  .filter("name IS NOT NULL").distinct())
-    return {
-        "transactions": order_transactions(spark, sf),
+    postings = lambda: line_postings(spark, sf)
+    return _OnDemand({
+        "transactions": lambda: order_transactions(spark, sf),
         "postings": postings,
-        "accounts": names.select(F.col("account").alias("name"), account_type("account").alias("type"),
-                                 F.lit("open").alias("status")),
-        "commodities": currencies,
-        "transaction_tags": tag_pairs(spark, sf),
-        "transaction_links": link_pairs(spark, sf),
-        "balance_assertions": balance_directives(spark, sf).selectExpr(
+        "accounts": lambda: postings().select("account").distinct().select(
+            F.col("account").alias("name"), account_type("account").alias("type"), F.lit("open").alias("status")),
+        "commodities": lambda: postings().select(
+            F.explode(F.array("currency", "cost_currency", "price_currency")).alias("name"))
+        .filter("name IS NOT NULL").distinct(),
+        "transaction_tags": lambda: tag_pairs(spark, sf),
+        "transaction_links": lambda: link_pairs(spark, sf),
+        "balance_assertions": lambda: balance_directives(spark, sf).selectExpr(
             "date", "account", "number AS amount", "number_currency AS currency", "source_file", "source_line"),
-    }
+    })
 
 
 def holdings(spark: SparkSession, sf: str) -> DataFrame:
