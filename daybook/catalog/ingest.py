@@ -379,6 +379,11 @@ def j3(spark, sf):
             .unionByName(skipped.select(F.lit("skipped").alias("part"), "seq", "external_id")))
 
 
+def hashes_of(spark, sf):
+    run = L.prepare(A.directives(spark, sf))
+    return state.run_hashes(run.ids, run.later)
+
+
 # ---- state ---------------------------------------------------------------------------
 
 HASHES = "SELECT string_agg(content_hash, '' ORDER BY content_hash) AS joined FROM kept"
@@ -398,7 +403,12 @@ FINGERPRINT = """SELECT sha256(string_agg(h, '' ORDER BY h)) AS fingerprint FROM
 
 @query("a20_state_fingerprint", FINGERPRINT.format(source="kept"), "kept")
 def a20(spark, sf):
-    return state.state_fingerprint(state.run_hashes(L.prepare(A.directives(spark, sf)).ids))
+    return state.state_fingerprint(hashes_of(spark, sf))
+
+
+@query("s4_sorted_hashes", "SELECT content_hash FROM kept ORDER BY content_hash", "kept")
+def s4(spark, sf):
+    return hashes_of(spark, sf).orderBy("content_hash")
 
 
 @query("a21_check_sync", f"""SELECT sha256(joined) AS current_hash, sha256(joined) AS stored_hash, true AS in_sync FROM ({HASHES})""", "kept")
@@ -503,7 +513,7 @@ def j7(spark, sf):
 @query("snk5_save_state", FINGERPRINT.format(source="kept").replace("AS fingerprint", "AS last_successful_hash, 1 AS id"), "kept")
 def snk5(spark, sf):
     root = new_folder(spark, "ledger")
-    hashes = state.run_hashes(L.prepare(A.directives(spark, sf)).ids)
+    hashes = hashes_of(spark, sf)
     store.save_state(spark, root, state.state_hash(hashes.limit(0)))
     store.save_state(spark, root, state.state_fingerprint(hashes, "state_hash"))
     return store.read_table(spark, root, "import_state").select("id", "last_successful_hash")

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 EXACT_LIMIT = 1_000_000
 
 
-def run_hashes(t: DataFrame) -> DataFrame:
+def run_hashes(ids: DataFrame, later: DataFrame) -> DataFrame:
     """content_hash of every transaction that a load would not skip: each id counts once.
 
-    `t` carries seq, external_id and content_hash; of rows with one id the first by seq stays."""
-    return (t.groupBy("external_id").agg(F.min_by("content_hash", "seq").alias("content_hash"))
-            .select("content_hash"))
+    `ids` holds seq, external_id and content_hash, `later` the seq of repeated ids after their first."""
+    return ids.join(later, "seq", "left_anti").select("content_hash")
 
 
 def state_fingerprint(hashes: DataFrame, name: str = "fingerprint") -> DataFrame:

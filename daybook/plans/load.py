@@ -29,11 +29,12 @@ class Run:
 
     `directives` is staged, transactions apart from other kinds and with their given_id,
     content_hash and invalid flag, so that the steps on ids read no nested column;
-    `ids` (seq, external_id, content_hash) and `skipped` (seq, reason) are narrow staged
-    tables; `fresh` are the transactions to store, a lazy scan of the staged directives."""
+    `ids` (seq, external_id, content_hash), `later` (seq of repeated ids after their first) and
+    `skipped` (seq, reason) are narrow staged tables; `fresh` are the transactions to store, a lazy scan of the staged directives."""
 
     directives: DataFrame
     ids: DataFrame
+    later: DataFrame
     skipped: DataFrame
     fresh: DataFrame
 
@@ -57,14 +58,14 @@ def prepare(d: DataFrame, stored: DataFrame | None = None, work: Workspace | Non
     repeats = work.stage(tx.repeat_numbers(t, work), "repeats")
     ids = work.stage(tx.numbered_ids(t, repeats).select("seq", "external_id", "content_hash"), "ids")
     keys = ids.select("seq", "external_id")
-    skipped = later_repeats(keys, "external_id", "seq", work).select("seq", F.lit("repeat").alias("reason"))
+    later = work.stage(later_repeats(keys, "external_id", "seq", work), "later")
+    skipped = later.select("seq", F.lit("repeat").alias("reason"))
     if stored is not None:
         old = tx.split_new(keys, stored)[1].select("seq", F.lit("stored").alias("reason"))
-        skipped = old.unionByName(skipped).groupBy("seq").agg(F.max("reason").alias("reason"))
-    skipped = work.stage(skipped, "skipped")
+        skipped = work.stage(old.unionByName(skipped).groupBy("seq").agg(F.max("reason").alias("reason")), "skipped")
     changed = (repeats.unionByName(skipped.select("seq", F.lit(0).cast("bigint").alias("n")))
                .groupBy("seq").agg(F.min("n").alias("n")))
-    return Run(staged, ids, skipped, tx.numbered_ids(t, changed))
+    return Run(staged, ids, later, skipped, tx.numbered_ids(t, changed))
 
 
 def registry_rows(d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
@@ -126,7 +127,7 @@ def load_batch(spark: SparkSession, d: DataFrame, root: str, version: int, batch
             raise tx.DuplicateIds(f"transaction {seq} repeats an id ({reason})")
         tables = new_rows(run.fresh, run.directives, led)
         if with_state:
-            tables["import_state"] = store.state_row(state.state_hash(state.run_hashes(run.ids)))
+            tables["import_state"] = store.state_row(state.state_hash(state.run_hashes(run.ids, run.later)))
         store.write_batch(spark, tables, root, version, batch, stream, epoch)
         total, dropped = run.ids.count(), run.skipped.count()
         rejected = 0 if strict else run.directives.filter("kind = 'transaction' AND invalid").count()
@@ -238,7 +239,8 @@ def load_report(run: Run, chunk_size: int = 500) -> DataFrame:
 
 def source_state(d: DataFrame, exact_limit: int = state.EXACT_LIMIT) -> DataFrame:
     """State hash of a run of directives."""
-    return state.state_hash(state.run_hashes(prepare(d).ids), exact_limit)
+    run = prepare(d)
+    return state.state_hash(state.run_hashes(run.ids, run.later), exact_limit)
 
 
 def check(spark: SparkSession, d: DataFrame, root: str) -> DataFrame:

@@ -93,7 +93,8 @@ def test_balances(led):
 
 
 def test_state(spark, d):
-    hashes = state.run_hashes(L.prepare(d).ids)
+    run = L.prepare(d)
+    hashes = state.run_hashes(run.ids, run.later)
     assert tuple(state.state_hash(hashes).collect()[0]) == (G.STATE, "exact")
     assert tuple(state.state_hash(hashes.limit(0)).collect()[0]) == (G.EMPTY_STATE, "exact")
     big = state.state_hash(hashes, exact_limit=2).collect()[0]
