@@ -13,7 +13,7 @@ from daybook.operators import facts, quality, registries, state
 from daybook.operators import transactions as tx
 from daybook.operators.numbering import assign_ids, first_by_key
 from daybook.plans import load as L
-from daybook.schema import TABLES
+from daybook.schema import FOREIGN, NOT_NULL, TABLES, UNIQUE
 from daybook.sources import directives as S
 from daybook.sources import store
 from daybook.sources.workspace import new_folder
@@ -608,6 +608,43 @@ def dq6(spark, sf):
     return tx.duplicate_report(new, cleared(run.fresh))
 
 
-@query("dq_quality_report")
+# the tables of a loaded ledger in SQL, with the accounts cut down to those that were opened
+LEDGER_SQL = {
+    "commodities": "SELECT name, metadata FROM commodity",
+    "accounts": f"SELECT * FROM ({ACCOUNTS}) WHERE open_date IS NOT NULL",
+    "transactions": "SELECT external_id, date, flag, narration FROM kept",
+    "postings": """SELECT external_id, posting_idx, account, amount, currency, cost_currency,
+        CASE WHEN price_number <> 0 THEN price_unit END AS price_currency FROM kept JOIN dp ON dp.seq = kept.seq""",
+    "transaction_metadata": META,
+    "posting_metadata": """SELECT external_id, posting_idx, 'customer' AS key, customer AS value
+        FROM kept JOIN dp ON dp.seq = kept.seq WHERE customer IS NOT NULL""",
+    "tags": f"SELECT DISTINCT tag AS name FROM ({TAGS})",
+    "links": f"SELECT DISTINCT link AS name FROM ({LINKS})",
+    "transaction_tags": TAGS,
+    "transaction_links": LINKS,
+    "balance_assertions": "SELECT * FROM bal",
+    "prices": "SELECT * FROM px",
+    "ledger_events": "SELECT * FROM ev",
+    "ledger_documents": "SELECT * FROM doc",
+}
+
+
+def quality_sql() -> str:
+    """All constraint counts as SQL over LEDGER_SQL."""
+    row = "SELECT '{}' AS \"check\", '{}' AS \"table\", '{}' AS detail, {} AS violations".format
+    parts = [row("not_null", t, c, f"(SELECT count(*) - count({c}) FROM t_{t})")
+             for t, columns in NOT_NULL.items() if t in LEDGER_SQL for c in columns]
+    parts += [row("unique", t, ",".join(key), f"(SELECT count(*) FROM (SELECT 1 FROM t_{t} GROUP BY {', '.join(key)} HAVING count(*) > 1))")
+              for t, key in UNIQUE.items() if t in LEDGER_SQL]
+    parts += [row("reference", c, f"{column} -> {p}",
+                  f"(SELECT count(*) FROM t_{c} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {parent} FROM t_{p}))")
+              for c, column, p, parent in FOREIGN]
+    tables = ", ".join(f"t_{t} AS ({sql})" for t, sql in LEDGER_SQL.items())
+    return f"SELECT * FROM (WITH {tables} " + " UNION ALL ".join(parts) + ")"
+
+
+@query("dq_quality_report", quality_sql(), "commodity acct kept dp bal px ev doc")
 def dq_all(spark, sf):
-    return quality.quality_report(store.read_ledger(spark, loaded(spark, sf)))
+    led = L.ledger_of(A.directives(spark, sf))
+    led["accounts"] = led["accounts"].filter("open_date IS NOT NULL")
+    return quality.quality_report(led)

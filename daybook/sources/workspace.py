@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_local: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,8 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="daybook-")
-        spark.conf.set(SETTING, folder)
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = tempfile.mkdtemp(prefix="daybook-")
+        folder = _local[app]
     return folder.rstrip("/")
 
 
