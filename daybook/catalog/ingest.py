@@ -13,7 +13,7 @@ from daybook.operators import facts, quality, registries, state
 from daybook.operators import transactions as tx
 from daybook.operators.numbering import assign_ids, first_by_key
 from daybook.plans import load as L
-from daybook.schema import FOREIGN, NOT_NULL, TABLES, UNIQUE
+from daybook.schema import FOREIGN, MAX_LENGTH, NOT_NULL, TABLES, UNIQUE
 from daybook.sources import directives as S
 from daybook.sources import store
 from daybook.sources.workspace import new_folder
@@ -570,6 +570,12 @@ def dq1(spark, sf):
     return quality.null_violations(txns(spark, sf), ["payee", "narration", "date"])
 
 
+@query("dq_length_violations", """SELECT 'p_name' AS column_name, count(*) FILTER (WHERE length(p_name) > 11) AS violations FROM part
+    UNION ALL SELECT 'p_type', count(*) FILTER (WHERE length(p_type) > 7) FROM part""")
+def dq_length(spark, sf):
+    return quality.length_violations(A.table(spark, sf, "part"), {"p_name": 11, "p_type": 7})
+
+
 @query("dq2_dup_violations", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def dq2(spark, sf):
     return quality.dup_violations(A.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -613,7 +619,7 @@ LEDGER_SQL = {
     "commodities": "SELECT name, metadata FROM commodity",
     "accounts": f"SELECT * FROM ({ACCOUNTS}) WHERE open_date IS NOT NULL",
     "transactions": "SELECT external_id, date, flag, narration FROM kept",
-    "postings": """SELECT external_id, posting_idx, account, amount, currency, cost_currency,
+    "postings": """SELECT external_id, posting_idx, CAST(NULL AS varchar) AS flag, account, amount, currency, cost_currency,
         CASE WHEN price_number <> 0 THEN price_unit END AS price_currency FROM kept JOIN dp ON dp.seq = kept.seq""",
     "transaction_metadata": META,
     "posting_metadata": """SELECT external_id, posting_idx, 'customer' AS key, customer AS value
@@ -634,6 +640,8 @@ def quality_sql() -> str:
     row = "SELECT '{}' AS \"check\", '{}' AS \"table\", '{}' AS detail, {} AS violations".format
     parts = [row("not_null", t, c, f"(SELECT count(*) - count({c}) FROM t_{t})")
              for t, columns in NOT_NULL.items() if t in LEDGER_SQL for c in columns]
+    parts += [row("length", t, c, f"(SELECT count(*) FROM t_{t} WHERE length({c}) > {n})")
+              for t, limits in MAX_LENGTH.items() for c, n in limits.items()]
     parts += [row("unique", t, ",".join(key), f"(SELECT count(*) FROM (SELECT 1 FROM t_{t} GROUP BY {', '.join(key)} HAVING count(*) > 1))")
               for t, key in UNIQUE.items() if t in LEDGER_SQL]
     parts += [row("reference", c, f"{column} -> {p}",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.schema import FOREIGN, NOT_NULL, UNIQUE
+from daybook.schema import FOREIGN, MAX_LENGTH, NOT_NULL, UNIQUE
 
 
 def null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -15,6 +15,13 @@ def null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
     return one.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, violations)")
 
 
+def length_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Texts longer than their column allows, counted per column in one pass."""
+    one = df.agg(*[F.count_if(F.length(c) > n).alias(c) for c, n in limits.items()])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in limits)
+    return one.selectExpr(f"stack({len(limits)}, {pairs}) AS (column_name, violations)")
+
+
 def dup_violations(df: DataFrame, key: list[str]) -> DataFrame:
     """Keys that occur more than once."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -40,13 +47,18 @@ def numeric_violations(df: DataFrame, column: str) -> DataFrame:
 
 
 def quality_report(led: dict[str, DataFrame]) -> DataFrame:
-    """Violations of every required column, unique key and reference: (check, table, detail, violations)."""
+    """Violations of every required column, length limit, unique key and reference: (check, table, detail, violations)."""
     parts = []
     for table, columns in NOT_NULL.items():
         if table in led:
             parts.append(null_violations(led[table], columns).select(
                 F.lit("not_null").alias("check"), F.lit(table).alias("table"),
                 F.col("column_name").alias("detail"), "violations"))
+    for table, limits in MAX_LENGTH.items():
+        if table in led:
+            parts.append(length_violations(led[table], limits).select(
+                F.lit("length").alias("check"), F.lit(table).alias("table"),
+                F.col("column_name").alias("detail"), "violations"))
     for table, key in UNIQUE.items():
         if table in led:
             parts.append(dup_violations(led[table], key).agg(F.count(F.lit(1)).alias("violations")).select(

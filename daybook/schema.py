@@ -105,6 +105,13 @@ NOT_NULL = {
     "ledger_documents": ["date", "account", "file_path"],
     "import_state": ["id", "last_successful_hash"],
 }
+# Longest allowed text per table and column (fixed values).
+MAX_LENGTH = {
+    "commodities": {"name": 50},
+    "accounts": {"type": 50, "status": 20},
+    "transactions": {"flag": 20},
+    "postings": {"flag": 20},
+}
 UNIQUE = {
     "commodities": ["name"],
     "accounts": ["name"],
