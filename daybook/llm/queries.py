@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, counts, packing
+from . import bpe, counts, packing, pii, quality
 from .ship import ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PII_KEY = "daybook"  # a deployment passes its own secret
 QUERIES, CHECKS = {}, {}
 
 
@@ -49,3 +50,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
                          "tier", "step")
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = quality.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+CHECKS["op8_quality"] = quality.CHECK_SQL
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
