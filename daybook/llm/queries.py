@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, counts, langid, lines, packing, pii, quality, urls
+from . import bpe, counts, langid, lines, neighbours, packing, pii, quality, urls
 from .ship import ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,3 +89,8 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, labels, RULES).select("page_id", "host", "path", "rule", "verdict", "confidence")
+
+
+@query
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
