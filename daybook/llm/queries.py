@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, counts, langid, lines, neighbours, packing, pii, quality, urls
+from . import bpe, counts, langid, lines, neardup, neighbours, packing, pii, quality, urls
 from .ship import ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,3 +94,9 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "class_id", "kept")
