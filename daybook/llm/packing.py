@@ -25,24 +25,28 @@ from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CACHED_LENGTH, PIECES
+from .bpe import CACHED_LENGTH, pieces_of
 
 TIERS = (128, 256, 512, 1024)
 POOL = 1 << 19           # tokens of remainders a task gathers before it packs them
 STEP = 1 << 16           # tokens of a step
-CACHED = 600_000         # pieces of text a worker remembers
+CACHED = 1_000_000         # pieces of text a worker remembers
+BLOCK = 1 << 19          # bytes of text encoded at a time
 OUT_BYTES = 1 << 24      # ids in one batch of output rows
 
 
 class Encoder:
     """Ids by the `tokenizers` library, packed as bytes. Pieces of the splitting pattern encode alike alone and in
-    a text, so each is encoded once and remembered."""
+    a text, so each is encoded once and remembered. New words are handed to the library in one text and told apart
+    by the bytes their tokens stand for."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,29 +60,47 @@ class Encoder:
         self.by_piece = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not spec["normalizer"]
                          and not split["add_prefix_space"])
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)").search
-        self.split = regex.compile(PIECES).findall
+        vocab = self.library.get_vocab()
+        self.widths = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token: one letter stands for a byte
+        for t, i in vocab.items():
+            self.widths[i] = len(t)
         self.pieces: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(i.to_bytes(4, "little") for i in e.ids)
-                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def ids(self, text: str) -> bytes:
-        if not self.by_piece or self.special(text):
-            return self._library([text])[0]
-        split, known = self.split(text), self.pieces
-        if new := [p for p in split if p not in known]:
-            if len(known) > CACHED:
-                known.clear()
-                new = split
-            new = list(set(new))
-            known.update(zip(new, self._library(new)))
-            out = b"".join(map(known.__getitem__, split))
-            for p in new:
-                if len(p) > CACHED_LENGTH:
-                    del known[p]
-            return out
-        return b"".join(map(known.__getitem__, split))
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: set[str]) -> None:
+        words = [p for p in new if p[0] == " " and p[1:].isalpha()]  # in a row, each is again a piece
+        if words:
+            ids = np.array(self.library.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
+            ends, wanted = np.cumsum(self.widths[ids]), np.cumsum([len(w.encode()) for w in words])
+            at = np.searchsorted(ends, wanted)
+            if np.array_equal(ends[np.minimum(at, len(ends) - 1)], wanted):
+                raw, start = ids.tobytes(), 0
+                for word, end in zip(words, (4 * (at + 1)).tolist()):
+                    self.pieces[word] = raw[start:end]
+                    start = end
+                new = new.difference(words)
+        rest = list(new)
+        self.pieces.update(zip(rest, self._library(rest)))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        if not self.by_piece:
+            return self._library(texts)
+        split = [None if self.special(t) else pieces_of(t) for t in texts]
+        known = self.pieces
+        new = {p for s in split if s for p in s if p not in known}
+        if len(known) + len(new) > CACHED:
+            known.clear()
+            new = {p for s in split if s for p in s}
+        if new:
+            self._learn(new)
+        out = [self._library([t])[0] if s is None else b"".join(map(known.__getitem__, s)) for t, s in zip(texts, split)]
+        for p in new:
+            if len(p) > CACHED_LENGTH:
+                del known[p]
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -165,6 +187,18 @@ class Packer:
             yield self.window, pieces
 
 
+def blocks(texts: pa.Array) -> Iterator[range]:
+    """Rows in a row, of BLOCK bytes of text together, or one."""
+    begin = size = 0
+    for row, width in enumerate(pc.binary_length(texts).to_pylist()):
+        if size and size + (width or 0) > BLOCK:
+            yield range(begin, row)
+            begin, size = row, 0
+        size += width or 0
+    if begin < len(texts):
+        yield range(begin, len(texts))
+
+
 def _rows(batches, path: str, end: int, tiers: tuple[int, ...], pool: int, step: int, kind: pa.Schema):
     first = TaskContext.get().partitionId() << 32
     code, last, packer = encoder(path), end.to_bytes(4, "little"), Packer(tiers, pool)
@@ -173,8 +207,10 @@ def _rows(batches, path: str, end: int, tiers: tuple[int, ...], pool: int, step:
 
     def packed():
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                yield from packer.add(doc.as_py(), code.ids(text.as_py() or "") + last)
+            docs, texts = batch.column(0).to_pylist(), batch.column(1)
+            for some in blocks(texts):
+                for row, ids in zip(some, code.ids([texts[row].as_py() or "" for row in some])):
+                    yield from packer.add(docs[row], ids + last)
         yield from packer.pack()
 
     for tier, pieces in packed():
