@@ -30,7 +30,7 @@ def beside(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFram
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return beside(docs, lambda d: quality.clean(d).where("kept"))
+    return beside(docs, quality.keep)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

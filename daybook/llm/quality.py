@@ -81,6 +81,14 @@ def clean(docs: DataFrame, text: str = "text", lost: int = LOST) -> DataFrame:
     return docs.drop(*[c for c in docs.columns if c.startswith("_q_")])
 
 
+
+def keep(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The kept documents, with the columns of clean(). A plain filter would be pushed below the steps of clean(), with
+    their expressions written out into it again and again; the generator drops the rows where they are judged."""
+    judged = clean(docs, text)
+    return judged.select("*", F.explode(F.when(F.col("kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))).alias("_q_kept")).drop("_q_kept")
+
+
 CHECK_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 a AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
