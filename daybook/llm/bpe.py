@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -97,7 +98,7 @@ class Bpe:
                 self.automaton.add_word(t.decode("latin-1"), (i, len(t)))
         self.automaton.make_automaton()
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, bytes] = {}               # piece -> its ids, packed
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def fits(self, a: int, b: int) -> bool:
@@ -144,31 +145,27 @@ class Bpe:
             end = begin[end]
         return tuple(reversed(out))
 
-    def _remember(self, piece: str) -> tuple[int, ...]:
-        ids = self.piece_ids(piece)
-        if len(piece) <= CACHED_LENGTH:
-            if len(self.pieces) >= CACHED:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
-
-    def _plain(self, text: str, out: list[int]) -> None:
-        known = self.pieces.get
-        for piece in pieces_of(text):
-            out += known(piece) or self._remember(piece)
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        if self.special is None or not self.special.search(text):
-            self._plain(text, out)
-            return out
-        for part in self.special.split(text):
-            if part in self.specials:
-                out.append(self.specials[part])
-            elif part:
-                self._plain(part, out)
+    def _plain(self, text: str) -> bytes:
+        pieces, known = pieces_of(text), self.pieces
+        new = {p for p in pieces if p not in known}
+        if len(known) + len(new) > CACHED:
+            known.clear()
+            new = set(pieces)
+        for p in new:
+            known[p] = struct.pack(f"<{len(ids := self.piece_ids(p))}i", *ids)
+        out = b"".join(map(known.__getitem__, pieces))
+        for p in new:
+            if len(p) > CACHED_LENGTH:
+                del known[p]
         return out
 
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        if self.special is None or not self.special.search(text):
+            return np.frombuffer(self._plain(text), "<i4")
+        return np.frombuffer(b"".join(struct.pack("<i", self.specials[part]) if part in self.specials else self._plain(part)
+                                      for part in self.special.split(text)), "<i4")
+
     def decode(self, ids) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -178,18 +175,16 @@ def vocabulary(path: str) -> Bpe:
     return Bpe(os.path.abspath(path))
 
 
+def _lists(blocks: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, blocks)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, "<i4"), *blocks]), pa.int32()))
+
+
 def encode_column(text: Column | str, path: str) -> Column:
     """array<int>: the ids of each text."""
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
-        bpe, ends, blocks, total = vocabulary(path), [0], [], 0
-        for t in texts:
-            ids = np.array(bpe.encode(t.as_py() or ""), dtype=np.int32)
-            total += len(ids)
-            ends.append(total)
-            blocks.append(ids)
-        values = np.concatenate(blocks) if blocks else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+        return _lists([vocabulary(path).encode(t.as_py() or "") for t in texts])
     return encoded(text)
 
 
@@ -211,3 +206,17 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """docs with the text of each list of ids."""
     return docs.withColumn(out, decode_column(F.col(ids), path))
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """docs with the ids of each text and the text that these ids give. decode(encode(docs)) is the same, but Spark
+    would run the encoder once for each of the two columns."""
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        bpe = vocabulary(path)
+        blocks = [bpe.encode(t.as_py() or "") for t in texts]
+        return pa.StructArray.from_arrays([_lists(blocks), pa.array([bpe.decode(b.tolist()) for b in blocks], pa.string())], fields=list(kind))
+    held = docs.withColumn("_b_both", both(F.col(text)))
+    return held.withColumns({ids: F.col("_b_both.ids"), decoded: F.col("_b_both.decoded")}).drop("_b_both")

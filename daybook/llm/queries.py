@@ -32,8 +32,7 @@ def sha256_of_ids(ids):
 
 @query
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
-    docs = bpe.decode(docs, BYTE_BPE)
+    docs = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
     return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_of_ids(F.col("ids")).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
