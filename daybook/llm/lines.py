@@ -14,7 +14,9 @@ The one edit lies in one place, so lines must first agree on a beginning or an e
 but one of SEGMENTS segments; only the segments where two lines agree on the rest emit variants. These are necessary
 conditions, so no near line is lost. Lines of different length meet by emitting their keys for both lengths.
 
-Only DataFrame functions. Shuffled: line hashes (narrow), and the texts twice, by document.
+Only DataFrame functions. Shuffled: hashes of lines and half keys (narrow), the text of lines that share a half key,
+and the documents once, to cut their lines. Shared half keys reach the lines as a broadcast bitmap of fixed size; where
+it fills up, more lines are compared and the result is the same.
 
 Defined results: null texts stay null, empty ones empty; lines without a word stay; a document that loses all its
 lines keeps an empty text; rows that repeat id and text count as one document and stay alike; null ids sort first;
@@ -30,6 +32,7 @@ from .stage import staged
 
 LEAST = 20       # characters from which near lines count
 SEGMENTS = 8
+BITS = 1 << 27   # of the filter for lines that may have a near one
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -72,20 +75,35 @@ def _variants(line: Column, begin: Column, end: Column) -> Column:
             F.substring(line, F.lit(1), begin + i - 2), F.substring(line, begin + i, F.char_length(line))))).alias("variant")))
 
 
-def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(h, g) of the distinct lines with an earlier line within one edit. distinct: h, g, first, keys."""
-    halves = distinct.where(F.size("keys") > 0).select("h", "g", "first", F.explode("keys").alias("key"))
-    shared = halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    wanted = halves.join(shared, "key", "left_semi").groupBy("h", "g").agg(F.first("first").alias("first"))
-    wanted = wanted.select(F.col("first._l_id").alias("_l_id"), F.col("first._l_hash").alias("_l_hash"),
-                           F.col("first._l_at").alias("_l_at"), "h", "g")
-    by_doc = wanted.groupBy("_l_id", "_l_hash").agg(F.collect_list(F.struct("_l_at", "h", "g")).alias("wanted"))
-    texts = docs.select("_l_id", "_l_hash", F.split("_l_text", "\n").alias("lines"))
-    on = texts["_l_id"].eqNullSafe(by_doc["_l_id"]) & (texts["_l_hash"] == by_doc["_l_hash"])
-    lines = texts.join(by_doc, on).select(texts["_l_id"], texts["_l_hash"], F.expr(
-        "inline(transform(wanted, w -> struct(w._l_at AS at, w.h AS h, w.g AS g, get(lines, w._l_at) AS line)))"))
-    lines = staged(lines.select(F.struct("_l_id", "_l_hash", F.col("at").alias("_l_at")).alias("first"), "h", "g", "line")
-                   .dropDuplicates(["h", "g"]))
+def _bits(keys: DataFrame) -> DataFrame:
+    """A set of keys as bitmaps (bucket, bits) of BITS bits altogether, however many keys there are."""
+    slot = F.pmod("key", F.lit(BITS))
+    return keys.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+
+
+def _in_bits(rows: DataFrame, bits: DataFrame) -> DataFrame:
+    """The rows whose key may be in the set; the bitmaps are at most BITS / 8 bytes and are broadcast."""
+    at = F.bitmap_bit_position(F.pmod("key", F.lit(BITS)))
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = rows.withColumn("bucket", F.bitmap_bucket_number(F.pmod("key", F.lit(BITS)))).join(F.broadcast(bits), "bucket")
+    return held.where(F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1).drop("bucket", "bits")
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """Every line that has a word: place (_l_id, _l_hash, _l_at), text and hashes."""
+    lines = docs.select("_l_id", "_l_hash", F.posexplode(F.split("_l_text", "\n")).alias("_l_at", "line")).where(F.col("line").rlike(WORD))
+    return lines.withColumns({"h": F.xxhash64("line"), "g": F.xxhash64(F.lit("second"), "line")})
+
+
+PLACE = ("_l_id", "_l_hash", "_l_at")
+
+
+def _near(docs: DataFrame) -> DataFrame:
+    """(h, g) of the distinct lines with an earlier line within one edit."""
+    halves = _lines(docs).select("*", F.explode(_half_keys(F.col("line"))).alias("key"))
+    shared = halves.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b")
+    lines = _in_bits(halves, _bits(shared)).groupBy("h", "g").agg(F.min(F.struct(*PLACE)).alias("first"), F.first("line").alias("line"))
+    lines = staged(lines)
 
     segments = lines.select("h", "g", F.explode(_segment_keys(F.col("line"))).alias("s")).select("h", "g", "s.*")
     meeting = segments.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
@@ -108,16 +126,12 @@ def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """_l_id, _l_hash and the numbers of the lines that go, from 0, for each document that loses any."""
     docs = docs.select(F.col(key).alias("_l_id"), F.xxhash64(F.col(text)).alias("_l_hash"), F.col(text).alias("_l_text"))
-    lines = docs.select("_l_id", "_l_hash", F.posexplode(F.split("_l_text", "\n")).alias("_l_at", "line")).where(F.col("line").rlike(WORD))
-    lines = lines.select("_l_id", "_l_hash", "_l_at", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), "line").alias("g"),
-                         _half_keys(F.col("line")).alias("keys"))
-    distinct = staged(lines.groupBy("h", "g").agg(F.min(F.struct("_l_id", "_l_hash", "_l_at")).alias("first"),
-                                                  F.count("*").alias("n"), F.first("keys").alias("keys")))
-    near = _near(docs, distinct).withColumn("near", F.lit(True))
-    going = distinct.select("h", "g", "first", "n").join(near, ["h", "g"], "left").where("n > 1 OR near")
-    hit = lines.select("_l_id", "_l_hash", "_l_at", "h", "g").join(going, ["h", "g"])
-    later = F.struct("_l_id", "_l_hash", "_l_at") > F.col("first")
-    return hit.where(F.col("near") | later).groupBy("_l_id", "_l_hash").agg(F.collect_set("_l_at").alias("_l_gone"))
+    near = _near(docs).withColumn("near", F.lit(True))
+    lines = _lines(docs).select(*PLACE, "h", "g")
+    firsts = lines.groupBy("h", "g").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"))
+    going = firsts.join(near, ["h", "g"], "left").where("n > 1 OR near").drop("n")
+    hit = lines.join(going, ["h", "g"])
+    return hit.where(F.col("near") | (F.struct(*PLACE) > F.col("first"))).groupBy("_l_id", "_l_hash").agg(F.collect_set("_l_at").alias("_l_gone"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
