@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from daybook.functions.accounts import account_type
 from daybook.schema import DIRECTIVE
 from daybook.sources.directives import read_directives
-from daybook.sources.workspace import new_folder
+from daybook.sources.workspace import Workspace, new_folder
 
 # Directives of one kind share a range of import positions (fixed values).
 SEQ_BASE = {"commodity": 0, "open": 1, "close": 1, "transaction": 2, "balance": 3, "price": 4, "event": 5,
@@ -147,12 +147,12 @@ _written: dict[tuple[str, str], str] = {}
 def directives(spark: SparkSession, sf: str) -> DataFrame:
     """All directives, read from the directive files a session writes once per data folder.
 
-    The ledger's input are files; this is the step that makes them, in evenly sized files
-    and a folder per kind."""
+    The ledger's input are files; this is the step that makes them, with a folder per kind."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _written:
         path = new_folder(spark, "directives")
-        directive_rows(spark, sf).hint("rebalance").write.partitionBy("kind").parquet(path)
+        # each kind as it comes: the given tables are read in even pieces already
+        directive_rows(spark, sf).write.partitionBy("kind").parquet(path)
         _written[key] = path
     return read_directives(spark, _written[key], "parquet")
 
@@ -166,9 +166,8 @@ def order_transactions(spark: SparkSession, sf: str) -> DataFrame:
         f"{_FILE} AS source_file", "o_orderkey AS source_line")
 
 
-def line_postings(spark: SparkSession, sf: str) -> DataFrame:
-    """Two postings per line item, dated by the order; orders and line items meet in one join."""
-    dates = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
+def _legs(lines: DataFrame) -> DataFrame:
+    """Line items with their two legs as p."""
     leg = lambda i, account, sign, cost, price: f"""named_struct('leg', {i}, 'account', {account},
       'amt', CAST(CASE WHEN l_partkey % 8 = 7 THEN {'-' if sign > 0 else ''}l_extendedprice
                   ELSE {'' if sign > 0 else '-'}l_extendedprice END AS decimal(19,2)),
@@ -176,8 +175,21 @@ def line_postings(spark: SparkSession, sf: str) -> DataFrame:
     legs = [leg(1, SPENDING.format(key="l_partkey"), 1, "CASE WHEN l_returnflag = 'R' THEN l_quantity END",
                 "CASE WHEN l_returnflag = 'A' AND l_discount <> 0 THEN l_discount END"),
             leg(2, FUNDING.format(key="l_suppkey"), -1, "NULL", "NULL")]
-    return (table(spark, sf, "lineitem").join(dates, F.col("l_orderkey") == F.col("o_orderkey"))
-            .withColumn("p", F.explode(F.expr(f"array({', '.join(legs)})")))
+    return lines.withColumn("p", F.explode(F.expr(f"array({', '.join(legs)})")))
+
+
+def line_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Account and currencies of every posting; no join is needed for names."""
+    return _legs(table(spark, sf, "lineitem")).selectExpr(
+        "p.account", "CASE l_linestatus WHEN 'F' THEN 'USD' ELSE 'INR' END AS currency",
+        "CASE WHEN p.cost_amount IS NOT NULL THEN 'USD' END AS cost_currency",
+        "CASE WHEN p.price_amount IS NOT NULL THEN 'EUR' END AS price_currency")
+
+
+def line_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """Two postings per line item, dated by the order; orders and line items meet in one join."""
+    dates = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
+    return (_legs(table(spark, sf, "lineitem").join(dates, F.col("l_orderkey") == F.col("o_orderkey")))
             .selectExpr("CAST(l_orderkey AS string) AS external_id", "date", "CAST(NULL AS string) AS flag", "p.account",
                         "CAST(p.amt AS decimal(19,4)) AS amount", "CAST(p.amt AS string) AS amount_text",
                         "CASE l_linestatus WHEN 'F' THEN 'USD' ELSE 'INR' END AS currency", "p.cost_amount",
@@ -220,15 +232,15 @@ class _OnDemand(dict):
 
 def flat_ledger(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The line item ledger as table frames."""
-    postings = lambda: line_postings(spark, sf)
+    work = Workspace(spark, "registries")       # each registry is worked out once, however often it is joined
     return _OnDemand({
         "transactions": lambda: order_transactions(spark, sf),
-        "postings": postings,
-        "accounts": lambda: postings().select("account").distinct().select(
-            F.col("account").alias("name"), account_type("account").alias("type"), F.lit("open").alias("status")),
-        "commodities": lambda: postings().select(
+        "postings": lambda: line_postings(spark, sf),
+        "accounts": lambda: work.stage(line_names(spark, sf).select("account").distinct().select(
+            F.col("account").alias("name"), account_type("account").alias("type"), F.lit("open").alias("status")), "accounts"),
+        "commodities": lambda: work.stage(line_names(spark, sf).select(
             F.explode(F.array("currency", "cost_currency", "price_currency")).alias("name"))
-        .filter("name IS NOT NULL").distinct(),
+            .filter("name IS NOT NULL").distinct(), "commodities"),
         "transaction_tags": lambda: tag_pairs(spark, sf),
         "transaction_links": lambda: link_pairs(spark, sf),
         "balance_assertions": lambda: balance_directives(spark, sf).selectExpr(

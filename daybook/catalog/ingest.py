@@ -40,16 +40,49 @@ def cleared(t):
 
 # ---- sources -------------------------------------------------------------------------
 
-@query("src1_read_directives", f"""SELECT kind, source_file, count(*) AS n, CAST(sum(source_line) AS bigint) AS lines FROM (
-    SELECT 'price' AS kind, source_file, source_line FROM px UNION ALL SELECT 'event', source_file, source_line FROM ev
-    UNION ALL SELECT 'document', source_file, source_line FROM doc UNION ALL SELECT 'balance', source_file, source_line FROM bal) GROUP BY ALL""", "px ev doc bal")
+# sizes and sums of what a directive nests
+NESTED = """SELECT 'transaction' AS kind, dt.source_file, dt.source_line, count(dp.seq) AS postings, sum(amount) AS amount, 3 AS tags,
+      CASE WHEN status <> 'P' THEN 1 ELSE 0 END AS links, 3 + count(DISTINCT given_id) + count(DISTINCT source_account) AS meta,
+      count(customer) AS posting_meta, string_agg(account, ',' ORDER BY posting_idx) AS accounts
+    FROM dt LEFT JOIN dp ON dp.seq = dt.seq GROUP BY dt.seq, dt.source_file, dt.source_line, status
+    UNION ALL SELECT kind, source_file, source_line, 0, NULL, 0, 0, 2, 0, account FROM oc
+    UNION ALL SELECT 'commodity', '/data/commodities.dir', p_partkey, 0, NULL, 0, 0, 3, 0, NULL FROM part
+    UNION ALL SELECT 'price', source_file, source_line, 0, price_amount, 0, 0, 0, 0, NULL FROM px
+    UNION ALL SELECT 'event', source_file, source_line, 0, NULL, 0, 0, 0, 0, NULL FROM ev
+    UNION ALL SELECT 'document', source_file, source_line, 0, NULL, 0, 0, 0, 0, account FROM doc
+    UNION ALL SELECT 'balance', source_file, source_line, 0, amount, 0, 0, 0, 0, account FROM bal"""
+
+
+@query("src1_read_directives", f"""SELECT kind, source_file, source_line, CAST(postings AS bigint) AS postings, CAST(amount AS DECIMAL(38,4)) AS amount,
+    CAST(tags AS bigint) AS tags, CAST(links AS bigint) AS links, CAST(meta AS bigint) AS meta, CAST(posting_meta AS bigint) AS posting_meta, accounts FROM ({NESTED})""", "dt dp oc px ev doc bal")
 def src1(spark, sf):
     first, second = new_folder(spark, "feed"), new_folder(spark, "book")
     d = A.directives(spark, sf)
-    D.of_kind(d, "price", "event").write.json(first)
-    D.of_kind(d, "balance", "document").write.json(second)
+    D.of_kind(d, "price", "event", "transaction").write.json(first)
+    D.of_kind(d, "balance", "document", "open", "close", "commodity").write.json(second)
     both = S.read_directives(spark, [first, second], "json")
-    return both.groupBy("kind", "source_file").agg(F.count(F.lit(1)).alias("n"), F.sum("source_line").alias("lines"))
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("bigint")
+    paid = F.aggregate("postings", F.lit(0).cast("decimal(38,4)"), lambda s, p: (s + p["number"]).cast("decimal(38,4)"))
+    noted = F.size(F.filter("postings", lambda p: p["meta"]["customer"].isNotNull()))
+    accounts = F.when(F.size("postings") > 0, F.array_join(F.col("postings.account"), ","))
+    return both.select(
+        "kind", "source_file", "source_line", size("postings").alias("postings"),
+        F.when(F.col("kind") == "transaction", F.when(F.size("postings") > 0, paid)).otherwise(F.col("number").cast("decimal(38,4)")).alias("amount"),
+        size("tags").alias("tags"), size("links").alias("links"), size("meta").alias("meta"),
+        F.greatest(F.coalesce(noted, F.lit(0)), F.lit(0)).cast("bigint").alias("posting_meta"),
+        F.coalesce(accounts, F.col("account")).alias("accounts"))
+
+
+@query("src1_positions_in_files", "SELECT external_id FROM kept", "kept")
+def src1_files(spark, sf):
+    """Two folders whose positions overlap: lines are counted inside each file."""
+    folders = [new_folder(spark, "even"), new_folder(spark, "odd")]
+    t = D.of_kind(A.directives(spark, sf), "transaction")
+    for i, folder in enumerate(folders):
+        t.filter(F.col("source_line") % 2 == i).withColumn("seq", F.floor(F.col("source_line") / 2)).write.json(folder)
+    root = new_folder(spark, "ledger")
+    L.load(spark, S.read_directives(spark, folders, "json", positions="file"), root)
+    return store.read_table(spark, root, "transactions").select("external_id")
 
 
 @query("src2_triage_errors", """SELECT error_type, CASE WHEN error_type IN ('PadError', 'DeprecatedError') THEN 'warning' ELSE 'critical' END AS severity,
@@ -166,7 +199,7 @@ def prj11(spark, sf):
     return facts.build_balances(A.directives(spark, sf))
 
 
-@query("prj12_prices", "SELECT date, commodity, price_amount, price_currency, source_file, source_line FROM px", "px")
+@query("prj12_prices", "SELECT date, commodity, price_amount, price_currency, source_file, source_line, seq FROM px", "px")
 def prj12(spark, sf):
     return facts.build_prices(A.directives(spark, sf))
 
@@ -296,11 +329,9 @@ def w1(spark, sf):
 
 @query("w2_kept_dup_ids", """SELECT event_id, CASE WHEN kept THEN concat(base, '-dup-', CAST(n AS varchar)) WHEN n > 1 THEN concat(base, '-', CAST(n AS varchar)) ELSE base END AS external_id
     FROM (SELECT *, row_number() OVER (PARTITION BY base, kept ORDER BY event_id) AS n
-          FROM (SELECT event_id, base[1:3] AS base, event_type IN ('purchase', 'signup') AS kept FROM hashed))""", "hashed")
+          FROM (SELECT event_id, base, event_id % 3 = 0 AS kept FROM hashed))""", "hashed")
 def w2(spark, sf):
-    # a short base, so that kept and ordinary rows share it
-    rows = A.hashed_events(spark, sf).select("event_id", F.substring("base", 1, 3).alias("base"),
-                                             F.col("event_type").isin("purchase", "signup").alias("kept"))
+    rows = A.hashed_events(spark, sf).select("event_id", "base", (F.col("event_id") % 3 == 0).alias("kept"))
     return tx.kept_dup_ids(rows, "base", "event_id", "kept").select("event_id", "external_id")
 
 
@@ -386,21 +417,18 @@ def hashes_of(spark, sf):
 
 # ---- state ---------------------------------------------------------------------------
 
-HASHES = "SELECT string_agg(content_hash, '' ORDER BY content_hash) AS joined FROM kept"
-
-
-@query("a19_state_hash", f"SELECT sha256(joined) AS state_hash, 'exact' AS method FROM ({HASHES})", "kept")
-def a19(spark, sf):
-    return L.source_state(A.directives(spark, sf))
-
-
 FINGERPRINT = """SELECT sha256(string_agg(h, '' ORDER BY h)) AS fingerprint FROM (
       SELECT concat(k, ':', sha256(string_agg(h, '' ORDER BY h))) AS h FROM (
         SELECT substr(k, 1, 3) AS k, concat(k, ':', sha256(string_agg(h, '' ORDER BY h))) AS h FROM (
-          SELECT substr(content_hash, 1, 6) AS k, concat(content_hash, ':', CAST(count(*) AS varchar)) AS h FROM {source} GROUP BY content_hash)
+          SELECT substr(md5(content_hash), 1, 6) AS k, concat(content_hash, ':', CAST(count(*) AS varchar)) AS h FROM {source} GROUP BY content_hash)
         GROUP BY k) GROUP BY k)"""
 
 
+@query("a19_state_hash", FINGERPRINT.format(source="kept").replace("AS fingerprint", "AS state_hash"), "kept")
+def a19(spark, sf):
+    return L.source_state(A.directives(spark, sf))
+
+
 @query("a20_state_fingerprint", FINGERPRINT.format(source="kept"), "kept")
 def a20(spark, sf):
     return state.state_fingerprint(hashes_of(spark, sf))
@@ -411,7 +439,7 @@ def s4(spark, sf):
     return hashes_of(spark, sf).orderBy("content_hash")
 
 
-@query("a21_check_sync", f"""SELECT sha256(joined) AS current_hash, sha256(joined) AS stored_hash, true AS in_sync FROM ({HASHES})""", "kept")
+@query("a21_check_sync", f"SELECT fingerprint AS current_hash, fingerprint AS stored_hash, true AS in_sync FROM ({FINGERPRINT.format(source='kept')})", "kept")
 def a21(spark, sf):
     d = A.directives(spark, sf)
     root = new_folder(spark, "ledger")
@@ -472,8 +500,7 @@ def snk1_postings(spark, sf):
 def snk2(spark, sf):
     d = A.directives(spark, sf)
     root = new_folder(spark, "ledger")
-    size = max(500, D.of_kind(d, "transaction").count() // 4)
-    append_chunks(spark, d, root, size)
+    append_chunks(spark, d, root, 500)
     return table_counts(store.read_ledger(spark, root))
 
 
@@ -514,7 +541,7 @@ def j7(spark, sf):
 def snk5(spark, sf):
     root = new_folder(spark, "ledger")
     hashes = hashes_of(spark, sf)
-    store.save_state(spark, root, state.state_hash(hashes.limit(0)))
+    store.save_state(spark, root, state.state_hash(hashes.filter("content_hash IS NULL")))
     store.save_state(spark, root, state.state_fingerprint(hashes, "state_hash"))
     return store.read_table(spark, root, "import_state").select("id", "last_successful_hash")
 
@@ -527,8 +554,10 @@ def snk5(spark, sf):
     SELECT 'transaction_tags', 'create', 2 * count(*) FROM fresh UNION ALL
     SELECT 'transaction_links', 'create', count(*) FROM fresh WHERE status <> 'P' UNION ALL
     SELECT 'commodities', 'create', 0 UNION ALL SELECT 'tags', 'create', 0 UNION ALL SELECT 'links', 'create', 0 UNION ALL
-    SELECT 'balance_assertions', 'create', count(*) FROM bal UNION ALL SELECT 'prices', 'create', count(*) FROM px UNION ALL
-    SELECT 'ledger_events', 'create', count(*) FROM ev UNION ALL SELECT 'ledger_documents', 'create', count(*) FROM doc UNION ALL
+    SELECT 'balance_assertions', 'create', count(*) FROM bal WHERE source_line % 3 <> 0 UNION ALL
+    SELECT 'prices', 'create', count(*) FROM px WHERE source_line % 3 <> 0 UNION ALL
+    SELECT 'ledger_events', 'create', count(*) FROM ev WHERE source_line % 3 <> 0 UNION ALL
+    SELECT 'ledger_documents', 'create', count(*) FROM doc WHERE source_line % 3 <> 0 UNION ALL
     SELECT 'accounts', 'create', 0 UNION ALL
     SELECT 'accounts', 'close', count(DISTINCT account) FROM oc WHERE kind = 'close' AND account IN (SELECT name FROM acct)""",
        "fresh ids dp bal px ev doc oc acct")
@@ -536,7 +565,7 @@ def snk6(spark, sf):
     d = A.directives(spark, sf)
     led = L.ledger_of(d)
     for fact in ["balance_assertions", "prices", "ledger_events", "ledger_documents"]:
-        led[fact] = led[fact].limit(0)
+        led[fact] = led[fact].filter("source_line % 3 = 0")       # a third is stored
     led["transactions"] = cleared(led["transactions"])
     return L.preview(d, led)
 
@@ -558,7 +587,6 @@ def st1(spark, sf):
     rows.write.parquet(src)
     stream_ingest(spark, src, root, checkpoint, max_files=3)
     stream_ingest(spark, src, root, checkpoint, max_files=3)          # finds nothing new
-    store.save_state(spark, root, L.source_state(d))
     return table_counts(store.read_ledger(spark, root))
 
 

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.accounts import (account_match, account_match_any, account_prefixes, account_type,
                                         category, prefix_at, under)
+from daybook.functions.money import times
 from daybook.schema import TOTAL, VALUE
 
 # Accounts of the income formulas (fixed values).
@@ -163,6 +164,12 @@ def expenses_by_category(led: dict, year: int) -> DataFrame:
             .orderBy(F.desc("total"), "category"))
 
 
+def ranked_categories(led: dict, year: int) -> DataFrame:
+    """Expenses by category with their place in the order; one row per category meets in the window."""
+    place = F.row_number().over(Window.orderBy(F.desc("total"), "category")).cast("bigint")
+    return expenses_by_category(led, year).withColumn("place", place)
+
+
 def top_categories(led: dict, year: int, k: int) -> DataFrame:
     """The k largest expense categories of a year."""
     return expenses_by_category(led, year).limit(k)
@@ -277,9 +284,8 @@ def head(df: DataFrame, n: int, *order: str) -> DataFrame:
 
 def _weight() -> tuple[Column, Column]:
     """Balancing weight: units x cost, else units x price, else units; and its currency."""
-    unit = lambda c: F.col(c).cast("decimal(18,4)")
-    amount = (F.when(F.col("cost_amount").isNotNull(), F.col("amount") * unit("cost_amount"))
-              .when(F.col("price_amount").isNotNull(), F.col("amount") * unit("price_amount"))
+    amount = (F.when(F.col("cost_amount").isNotNull(), times(F.col("amount"), F.col("cost_amount")))
+              .when(F.col("price_amount").isNotNull(), times(F.col("amount"), F.col("price_amount")))
               .otherwise(F.col("amount").cast(VALUE)))
     currency = (F.when(F.col("cost_amount").isNotNull(), F.col("cost_currency"))
                 .when(F.col("price_amount").isNotNull(), F.col("price_currency")).otherwise(F.col("currency")))
@@ -299,4 +305,4 @@ def cost_basis(led: dict) -> DataFrame:
     return (led["postings"].filter(F.col("cost_amount").isNotNull())
             .groupBy("account", F.col("currency").alias("commodity"), "cost_currency")
             .agg(_sum("amount").alias("units"),
-                 _sum(F.col("amount") * F.col("cost_amount").cast("decimal(18,4)"), VALUE).alias("cost")))
+                 _sum(times(F.col("amount"), F.col("cost_amount")), VALUE).alias("cost")))

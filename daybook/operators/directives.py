@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.schema import KINDS
+from daybook.schema import KINDS, REQUIRED
 
 
 class InvalidPostings(ValueError):
@@ -33,6 +33,40 @@ def has_invalid_posting() -> Column:
     return F.coalesce(bad, F.lit(False))
 
 
+class MissingValues(ValueError):
+    """Raised in strict mode when a directive lacks what the ledger requires."""
+
+
+class BadPositions(ValueError):
+    """Raised when the import positions of a run are null or repeat."""
+
+
+def missing_values() -> Column:
+    """The first required column that a directive of a known kind lacks, else null."""
+    reason = F.lit(None).cast("string")
+    for kind, columns in REQUIRED.items():
+        for c in reversed(columns):
+            reason = F.when((F.col("kind") == kind) & F.col(c).isNull(), F.lit(c)).otherwise(reason)
+    unnamed = F.coalesce(F.exists("postings", lambda p: p["account"].isNull()), F.lit(False))
+    return F.when((F.col("kind") == "transaction") & unnamed, F.lit("account")).otherwise(reason)
+
+
+def assert_complete(d: DataFrame) -> None:
+    """Raise on the first directive that lacks a required column."""
+    bad = d.withColumn("_missing", missing_values()).filter("_missing IS NOT NULL").limit(1).collect()
+    if bad:
+        b = bad[0]
+        raise MissingValues(f"{b.kind} at {b.source_file}:{b.source_line} has no {b['_missing']}")
+
+
+def assert_positions(d: DataFrame) -> None:
+    """Raise if positions (seq) are null or repeat; everything that orders or joins directives rests on them."""
+    bad = d.groupBy("seq").agg(F.count(F.lit(1)).alias("n")).filter("seq IS NULL OR n > 1").limit(1).collect()
+    if bad:
+        raise BadPositions("a directive has no import position" if bad[0].seq is None else f"import position {bad[0].seq} repeats; "
+                           "if it counts inside each file, read with positions='file'")
+
+
 def invalid_postings(d: DataFrame) -> DataFrame:
     """Rejected postings with position (from 1), file, line, narration and reason."""
     return (of_kind(d, "transaction").filter(has_invalid_posting())

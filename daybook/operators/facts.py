@@ -1,7 +1,8 @@
 """Fact, bridge and metadata rows.
 
 Each builder is an in-row projection or explode of directives: no shuffle. `t` is a
-frame of transaction directives that already carries external_id and content_hash."""
+frame of transaction directives that already carries external_id and content_hash; the
+columns named in `keep` are carried along."""
 
 from __future__ import annotations
 
@@ -12,9 +13,9 @@ from daybook.functions.metadata import stored_meta
 from daybook.operators.directives import of_kind
 
 
-def build_transactions(t: DataFrame) -> DataFrame:
+def build_transactions(t: DataFrame, *keep: str) -> DataFrame:
     """Transaction rows."""
-    return t.select("external_id", "date", "flag", "payee", "narration", "source_file", "source_line", "content_hash")
+    return t.select(*keep, "external_id", "date", "flag", "payee", "narration", "source_file", "source_line", "content_hash")
 
 
 def _price(value: str) -> Column:
@@ -22,10 +23,10 @@ def _price(value: str) -> Column:
     return F.when(F.col("p.price_number") != 0, F.col(value))
 
 
-def build_postings(t: DataFrame) -> DataFrame:
+def build_postings(t: DataFrame, *keep: str) -> DataFrame:
     """Posting rows in order, with optional cost and price."""
-    return (t.select("external_id", "date", F.posexplode("postings").alias("posting_idx", "p"))
-            .select("external_id", "posting_idx", "date", F.col("p.flag").alias("flag"),
+    return (t.select(*keep, "external_id", "date", F.posexplode("postings").alias("posting_idx", "p"))
+            .select(*keep, "external_id", "posting_idx", "date", F.col("p.flag").alias("flag"),
                     F.col("p.account").alias("account"), F.col("p.number").alias("amount"),
                     F.col("p.currency").alias("currency"),
                     F.col("p.cost_number").alias("cost_amount"), F.col("p.cost_currency").alias("cost_currency"),
@@ -33,25 +34,25 @@ def build_postings(t: DataFrame) -> DataFrame:
                     _price("p.price_currency").alias("price_currency")))
 
 
-def build_txn_meta(t: DataFrame) -> DataFrame:
+def build_txn_meta(t: DataFrame, *keep: str) -> DataFrame:
     """Transaction metadata as key/value rows without reserved keys."""
-    return t.select("external_id", F.explode(stored_meta("meta")).alias("key", "value"))
+    return t.select(*keep, "external_id", F.explode(stored_meta("meta")).alias("key", "value"))
 
 
-def build_post_meta(t: DataFrame) -> DataFrame:
+def build_post_meta(t: DataFrame, *keep: str) -> DataFrame:
     """Posting metadata as key/value rows, keyed by transaction and posting position."""
-    return (t.select("external_id", F.posexplode("postings").alias("posting_idx", "p"))
-            .select("external_id", "posting_idx", F.explode(stored_meta("p.meta")).alias("key", "value")))
+    return (t.select(*keep, "external_id", F.posexplode("postings").alias("posting_idx", "p"))
+            .select(*keep, "external_id", "posting_idx", F.explode(stored_meta("p.meta")).alias("key", "value")))
 
 
-def build_txn_tags(t: DataFrame) -> DataFrame:
+def build_txn_tags(t: DataFrame, *keep: str) -> DataFrame:
     """Transaction-tag pairs, each once."""
-    return t.select("external_id", F.explode(F.array_compact(F.array_distinct("tags"))).alias("tag"))
+    return t.select(*keep, "external_id", F.explode(F.array_compact(F.array_distinct("tags"))).alias("tag"))
 
 
-def build_txn_links(t: DataFrame) -> DataFrame:
+def build_txn_links(t: DataFrame, *keep: str) -> DataFrame:
     """Transaction-link pairs, each once."""
-    return t.select("external_id", F.explode(F.array_compact(F.array_distinct("links"))).alias("link"))
+    return t.select(*keep, "external_id", F.explode(F.array_compact(F.array_distinct("links"))).alias("link"))
 
 
 def build_balances(d: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def build_prices(d: DataFrame) -> DataFrame:
     return of_kind(d, "price").select("date", F.col("currency").alias("commodity"),
                                       F.col("number").alias("price_amount"),
                                       F.col("number_currency").alias("price_currency"),
-                                      "source_file", "source_line")
+                                      "source_file", "source_line", "seq")
 
 
 def build_events(d: DataFrame) -> DataFrame:
@@ -80,12 +81,17 @@ def build_documents(d: DataFrame) -> DataFrame:
                                          "source_file", "source_line")
 
 
-def unseen_facts(facts: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Facts that are not stored yet with the same place and content, so that a repeated load adds nothing."""
+def unseen_facts(facts: DataFrame, stored: DataFrame | None, years: list[int] | None = None) -> DataFrame:
+    """Facts that are not stored yet with the same place and content, so that a repeated load adds nothing.
+
+    The import position is neither. `years`: those of the facts, to which the stored side is cut."""
     if stored is None:
         return facts
-    known = stored.select(*[F.col(c).alias("_" + c) for c in facts.columns]).distinct()
-    same = [facts[c].eqNullSafe(F.col("_" + c)) for c in facts.columns]
+    if years is not None:
+        stored = stored.filter((F.col("year") if "year" in stored.columns else F.year("date")).isin(years))
+    content = [c for c in facts.columns if c != "seq"]
+    known = stored.select(*[F.col(c).alias("_" + c) for c in content])
+    same = [facts[c].eqNullSafe(F.col("_" + c)) for c in content]
     return facts.join(known, same, "left_anti")
 
 

@@ -2,7 +2,7 @@
 
 A plain row_number() puts a whole group into one task. Here repeated keys are found first,
 by a map-side combined count that is staged. Their rows are numbered by an ordinary window
-as long as no group exceeds 2**20 rows (or 1/2**19 of all rows, if that is more). Larger groups are cut into runs of 2**20 values of
+as long as no group exceeds 2**20 rows. Larger groups are cut into runs of 2**20 values of
 their BIGINT order column, which must be unique inside the group; rows are numbered inside
 a run and the runs' counts are summed in front of them. No window partition then holds more
 than 2**24 rows whatever the data, every run is a shuffle key of its own, and nothing
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from daybook.sources.workspace import Workspace, workspace
 
 RUN_BITS = 20
-HOT_KEYS = 2 ** 19
 
 
 def _ahead(over: list[str], by: str) -> Window:
@@ -56,10 +55,8 @@ def number_groups(df: DataFrame, key: str, order: str, name: str = "n", least: i
     if repeated.filter(big).isEmpty():
         out = rows.join(repeated.select(key), key, "left_semi").select(key, order, in_group)
     else:
-        # fewer than HOT_KEYS keys can hold more than rows/HOT_KEYS rows each: safe to broadcast,
-        # so that their rows leave the cold branch before it is shuffled by key
-        limit = max(2 ** run_bits, rows.count() // HOT_KEYS)
-        hot = F.broadcast(repeated.filter(F.col("_rows") > limit).select(key))
+        # their rows leave the cold branch first; Spark plans the joins by the staged list's size
+        hot = repeated.filter(big).select(key)
         cold = rows.join(hot, key, "left_anti").join(repeated.select(key), key, "left_semi")
         out = cold.select(key, order, in_group).unionByName(
             number_runs(rows.join(hot, key, "left_semi"), [key], order, name, run_bits))

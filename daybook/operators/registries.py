@@ -48,12 +48,12 @@ def get_or_create(dim: DataFrame, names: DataFrame) -> DataFrame:
 def resolve(fact: DataFrame, dim: DataFrame, on: str, strict: bool = True) -> DataFrame:
     """Fact rows joined to their dimension row; strict mode raises on an unknown name."""
     columns = [F.col(c).alias(f"{on}_{c}") for c in dim.columns if c != "name"]
-    out = fact.join(dim.select(F.col("name").alias(on), F.lit(True).alias("_known"), *columns), on, "left")
     if strict:
-        missing = out.filter(F.col("_known").isNull() & F.col(on).isNotNull()).select(on).limit(1).collect()
+        used = fact.select(F.col(on).alias("name")).filter("name IS NOT NULL").distinct()
+        missing = unseen(used, dim).limit(1).collect()
         if missing:
             raise UnknownName(f"{on} '{missing[0][0]}' is not registered")
-    return out.drop("_known")
+    return fact.join(dim.select(F.col("name").alias(on), *columns), on, "left")
 
 
 def build_commodities(d: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -73,7 +73,8 @@ def build_accounts(d: DataFrame, existing: DataFrame | None = None) -> DataFrame
 
     The first open creates an account, the last close after it closes it, a second open
     changes nothing. A close reaches only accounts opened before it or held in `existing`;
-    accounts merely used are created open, after all closes."""
+    accounts merely used are created open, after all closes. A changed account keeps the
+    time at which `existing` says it was created."""
     used = used_accounts(d).select("name")
     lifecycle = of_kind(d, "open", "close").select(F.col("account").alias("name"), "kind", "seq", "date", "meta")
     opens = F.when(F.col("kind") == "open", F.col("seq"))
@@ -86,8 +87,10 @@ def build_accounts(d: DataFrame, existing: DataFrame | None = None) -> DataFrame
     if existing is None:
         known = per.withColumn("old", F.lit(None).cast("struct<status:string,open_date:date,metadata:string>"))
     else:
-        old = existing.select("name", F.struct("status", "open_date", "metadata").alias("old"))
+        old = existing.select("name", F.struct([c for c in existing.columns if c != "name"]).alias("old"))
         known = per.join(old, "name", "left")
+    created = ([F.coalesce("old.created_at", F.current_timestamp()).alias("created_at")]
+               if existing is not None and "created_at" in existing.columns else [])
     is_old = F.col("old").isNotNull()
     closed = F.col("closed_at").isNotNull() & (is_old | (F.col("closed_at") > F.col("opened_at")))
     closed = F.coalesce(closed, F.lit(False))
@@ -97,7 +100,7 @@ def build_accounts(d: DataFrame, existing: DataFrame | None = None) -> DataFrame
                     F.when(closed, "closed").otherwise("open").alias("status"),
                     F.when(is_old, F.col("old.open_date")).otherwise(F.col("open.date")).alias("open_date"),
                     F.when(closed, F.col("last_close")).alias("close_date"),
-                    F.when(is_old, F.col("old.metadata")).otherwise(F.col("open.metadata")).alias("metadata")))
+                    F.when(is_old, F.col("old.metadata")).otherwise(F.col("open.metadata")).alias("metadata"), *created))
 
 
 def ignored_closes(d: DataFrame, existing: DataFrame | None = None) -> DataFrame:

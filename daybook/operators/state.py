@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many hashes the exact single digest is taken (64 bytes each in one row).
-EXACT_LIMIT = 1_000_000
-
 
 def run_hashes(ids: DataFrame, later: DataFrame) -> DataFrame:
     """content_hash of every transaction that a load would not skip: each id counts once.
@@ -19,10 +16,10 @@ def run_hashes(ids: DataFrame, later: DataFrame) -> DataFrame:
 def state_fingerprint(hashes: DataFrame, name: str = "fingerprint") -> DataFrame:
     """One digest of a multiset of hashes, in three levels of 4,096-fold fan-in.
 
-    Equal hashes are counted first, so copies never meet in one group; the rest spread
-    evenly by prefix over 16.7 million leaves."""
+    Equal hashes are counted first, so copies never meet in one group; the rest spread by
+    their own digest, whatever they begin with, over 16.7 million leaves."""
     counted = hashes.groupBy("content_hash").agg(F.count(F.lit(1)).alias("c"))
-    leaf = (counted.select(F.substring("content_hash", 1, 6).alias("k"),
+    leaf = (counted.select(F.substring(F.md5("content_hash"), 1, 6).alias("k"),
                            F.concat_ws(":", "content_hash", F.col("c").cast("string")).alias("h")))
     digest = lambda: F.sha2(F.concat_ws("", F.array_sort(F.collect_list("h"))), 256)
     level1 = leaf.groupBy("k").agg(digest().alias("g")).select(
@@ -31,16 +28,9 @@ def state_fingerprint(hashes: DataFrame, name: str = "fingerprint") -> DataFrame
     return level2.agg(digest().alias(name))          # at most 4,096 rows
 
 
-def state_hash(hashes: DataFrame, exact_limit: int = EXACT_LIMIT) -> DataFrame:
-    """One row (state_hash, method).
-
-    Up to `exact_limit` hashes: sha256 over all of them, sorted and joined. A single sha256
-    cannot be split over tasks, so beyond the checked limit the fingerprint stands in for it;
-    `method` tells which and both cover every hash."""
-    if hashes.count() <= exact_limit:
-        one = F.sha2(F.concat_ws("", F.array_sort(F.collect_list("content_hash"))), 256)
-        return hashes.agg(one.alias("state_hash")).withColumn("method", F.lit("exact"))
-    return state_fingerprint(hashes, "state_hash").withColumn("method", F.lit("fingerprint"))
+def state_hash(hashes: DataFrame) -> DataFrame:
+    """One row (state_hash): the fingerprint, at every size."""
+    return state_fingerprint(hashes, "state_hash")
 
 
 def check_sync(current: DataFrame, state: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions.accounts import account_prefixes
-from daybook.schema import TOTAL, VALUE
+from daybook.functions.money import times
+from daybook.schema import TOTAL
 
 
 def _by_day(*keys: str) -> Window:
@@ -59,9 +60,8 @@ def verify_balances(led: dict, tol: str = "0.005") -> DataFrame:
 def prices_as_of(prices: DataFrame, wanted: DataFrame) -> DataFrame:
     """Latest price on or before each wanted (commodity, date).
 
-    `prices` holds one or more quotes per day; where it has a seq column the last one of
-    the day counts, otherwise the highest source line."""
-    order = "seq" if "seq" in prices.columns else "source_line"
+    `prices` holds one or more quotes per day, of which the last imported one (seq) counts."""
+    order = "seq"
     quote = (prices.groupBy("commodity", "date")
              .agg(F.max_by(F.struct("price_amount", "price_currency"), order).alias("quote")))
     asked = wanted.select("commodity", "date").distinct().withColumn("asked", F.lit(True))
@@ -77,7 +77,7 @@ def value_positions(positions: DataFrame, prices: DataFrame) -> DataFrame:
     """Quantity x latest price on or before the position's date; null where no price is known."""
     on = ["commodity", "date"]
     return (positions.join(prices_as_of(prices, positions), on, "left")
-            .withColumn("value", (F.col("quantity") * F.col("price_amount").cast("decimal(18,4)")).cast(VALUE)))
+            .withColumn("value", times(F.col("quantity"), F.col("price_amount"))))
 
 
 def portfolio_value(positions: DataFrame, prices: DataFrame) -> DataFrame:

@@ -97,6 +97,14 @@ def id_posting_of(postings: DataFrame, key: str, order: list[str], source: str |
             .select(key, F.col("b.account").alias("account"), F.col("b.amount_text").alias("amount_text")))
 
 
+def stored_ids(stored: DataFrame, years: list[int], given: bool) -> DataFrame:
+    """Stored ids that a run can meet. A generated id holds its date, so it can only be stored in a year of the run;
+    only given ids may lie anywhere."""
+    if given:
+        return stored.select("external_id")
+    return stored.filter((F.col("year") if "year" in stored.columns else F.year("date")).isin(years)).select("external_id")
+
+
 def split_new(t: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(new, skipped) by external_id against the stored transactions.
 

@@ -5,17 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.accounts import basename
 from daybook.functions.metadata import stored_meta
 from daybook.operators import facts, registries, state
 from daybook.operators import transactions as tx
-from daybook.operators.directives import assert_valid, has_invalid_posting, of_kind
+from daybook.operators.directives import (assert_complete, assert_positions, assert_valid, has_invalid_posting,
+                                          missing_values, of_kind)
 from daybook.operators.numbering import later_repeats, number_runs
-from daybook.schema import CHILDREN, SOURCED
+from daybook.schema import CHILDREN, DIRECTIVE, KINDS, REQUIRED, SOURCED
 from daybook.sources import store
+from daybook.sources.directives import assert_no_critical, unreadable
 from daybook.sources.workspace import Workspace, workspace
 
 POLICIES = ["skip", "error"]
@@ -28,44 +30,85 @@ class Run:
     """A run of directives with its ids worked out.
 
     `directives` is staged, transactions apart from other kinds and with their given_id,
-    content_hash and invalid flag, so that the steps on ids read no nested column;
+    content_hash and invalid flag, so that the steps on ids read no nested column; of a narrow
+    run it holds transactions only, with the sizes of their children in place of them.
     `ids` (seq, external_id, content_hash), `later` (seq of repeated ids after their first) and
-    `skipped` (seq, reason) are narrow staged tables; `fresh` are the transactions to store, a lazy scan of the staged directives."""
+    `skipped` (seq, reason) are narrow staged tables; `fresh` are the transactions to store, a lazy scan of the staged
+    directives; `rejected` counts directives left out because something required is missing; `years` are those
+    of the transactions."""
 
     directives: DataFrame
     ids: DataFrame
     later: DataFrame
     skipped: DataFrame
     fresh: DataFrame
+    rejected: int
+    years: list[int]
 
 
-def prepare(d: DataFrame, stored: DataFrame | None = None, work: Workspace | None = None, strict: bool = False) -> Run:
+def child_counts() -> dict[str, Column]:
+    """Rows that a transaction adds to the tables of its children, from its arrays and maps."""
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    labels = lambda c: F.array_compact(F.array_distinct(c))
+    post_meta = F.aggregate(F.transform("postings", lambda p: size(stored_meta(p["meta"]))), F.lit(0), lambda a, x: a + x)
+    return {"postings": size("postings"), "transaction_metadata": size(stored_meta("meta")),
+            "posting_metadata": F.coalesce(post_meta, F.lit(0)), "transaction_tags": size(labels("tags")),
+            "transaction_links": size(labels("links"))}
+
+
+def prepare(d: DataFrame, stored: DataFrame | None = None, work: Workspace | None = None, strict: bool = False,
+            narrow: bool = False) -> Run:
     """Read the input once, number its ids and find what a load skips: a 'repeat' of an earlier
     id of the run, or an id 'stored' already.
 
-    Every later step reads only the columns and kinds it needs. Rows that need a suffix or
+    Refuses unreadable lines, and null or repeated positions; strict also directives that lack something
+    required. Every later step reads only the columns and kinds it needs. Rows that need a suffix or
     are skipped form a narrow table; all others are never shuffled before they are written."""
     work = workspace(d, work)
-    marked = tx.identified(of_kind(d, "transaction")).withColumn("invalid", has_invalid_posting())
-    # two jobs side by side: nested transaction rows, and the flat rows of all other kinds
-    both = work.stage_all({"transactions": (marked.select(*TRANSACTION_COLUMNS), []),
-                           "others": (d.filter("kind <> 'transaction'").drop("postings", "tags", "links"), ["kind"])})
-    all_t = both["transactions"].withColumn("kind", F.lit("transaction"))
-    staged = all_t.unionByName(both["others"], allowMissingColumns=True)
+    all_marked = tx.identified(of_kind(d, "transaction")).withColumn("invalid", has_invalid_posting() | missing_values().isNotNull())
+    if narrow:
+        columns = ["seq", "date", "given_id", "content_hash", "invalid", *[c.alias(f"n_{t}") for t, c in child_counts().items()]]
+        all_t = work.stage(all_marked.select(*columns), "transactions")
+        staged, others = all_t.withColumn("kind", F.lit("transaction")), d.filter("kind <> 'transaction'")
+    else:
+        # two jobs side by side: nested transaction rows, and the flat rows of all other kinds
+        both = work.stage_all({"transactions": (all_marked.select(*TRANSACTION_COLUMNS), []),
+                               "others": (d.filter("kind <> 'transaction'").drop("postings", "tags", "links"), ["kind"])})
+        all_t, others = both["transactions"].withColumn("kind", F.lit("transaction")), both["others"]
+        staged = all_t.unionByName(others.filter(_complete(others)), allowMissingColumns=True)
+    assert_no_critical(unreadable(others))
+    assert_positions(all_t.select("seq").unionByName(of_kind(others, *KINDS).select("seq")))
     if strict and not all_t.filter("invalid").isEmpty():
-        assert_valid(all_t)
+        assert_valid(d)
+        assert_complete(of_kind(d, "transaction"))
+    if strict:
+        assert_complete(others.withColumn("postings", F.lit(None).cast(DIRECTIVE["postings"].dataType)))
+    rejected = 0 if strict else all_t.filter("invalid").count() + of_kind(others, *KINDS).filter(~_complete(others)).count()
     t = all_t.filter("NOT invalid")
+    years = sorted(r.y for r in t.select(F.year("date").alias("y")).distinct().collect())
     repeats = work.stage(tx.repeat_numbers(t, work), "repeats")
-    ids = work.stage(tx.numbered_ids(t, repeats).select("seq", "external_id", "content_hash"), "ids")
+    ids = work.stage(tx.numbered_ids(t, repeats).select("seq", "external_id", "content_hash", F.col("given_id").isNotNull().alias("given")), "ids")
     keys = ids.select("seq", "external_id")
     later = work.stage(later_repeats(keys, "external_id", "seq", work), "later")
     skipped = later.select("seq", F.lit("repeat").alias("reason"))
     if stored is not None:
-        old = tx.split_new(keys, stored)[1].select("seq", F.lit("stored").alias("reason"))
+        old = [tx.split_new(ids.filter(F.col("given") == given).select("seq", "external_id"), tx.stored_ids(stored, years, given))[1]
+               for given in (False, True) if not given or not ids.filter("given").isEmpty()]
+        old = reduce(DataFrame.unionByName, old).select("seq", F.lit("stored").alias("reason"))
         skipped = work.stage(old.unionByName(skipped).groupBy("seq").agg(F.max("reason").alias("reason")), "skipped")
     changed = (repeats.unionByName(skipped.select("seq", F.lit(0).cast("bigint").alias("n")))
                .groupBy("seq").agg(F.min("n").alias("n")))
-    return Run(staged, ids, later, skipped, tx.numbered_ids(t, changed))
+    return Run(staged, ids.drop("given"), later, skipped, tx.numbered_ids(t, changed), rejected, years)
+
+
+def _complete(others: DataFrame) -> Column:
+    """True for directives other than transactions that have all that is required."""
+    reason = F.lit(None).cast("string")
+    for kind, columns in REQUIRED.items():
+        for c in reversed(columns):
+            if kind != "transaction":
+                reason = F.when((F.col("kind") == kind) & F.col(c).isNull(), F.lit(c)).otherwise(reason)
+    return reason.isNull()
 
 
 def registry_rows(d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
@@ -80,25 +123,32 @@ def registry_rows(d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, D
 
 
 def fact_rows(d: DataFrame, led: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
-    """New rows of the facts that belong to no transaction."""
+    """New rows of the facts that belong to no transaction. Stored ones are looked up in the years of the new."""
     built = {
         "balance_assertions": facts.build_balances(d),
         "prices": facts.build_prices(d),
         "ledger_events": facts.build_events(d),
         "ledger_documents": facts.build_documents(d),
     }
-    return built if led is None else {t: facts.unseen_facts(df, led[t]) for t, df in built.items()}
-
-
-def transaction_rows(t: DataFrame) -> dict[str, DataFrame]:
-    """Rows of the transaction tables; `t` carries external_id and content_hash."""
+    if led is None:
+        return built
+    dated = of_kind(d, "balance", "price", "event", "document").select("kind", F.year("date").alias("y")).distinct()
+    years: dict[str, list[int]] = {}
+    for r in dated.filter("y IS NOT NULL").collect():
+        years.setdefault(r.kind, []).append(r.y)
+    kinds = dict(zip(built, ("balance", "price", "event", "document")))
+    return {t: facts.unseen_facts(df, led[t], years.get(kinds[t], [])) for t, df in built.items()}
+
+
+def transaction_rows(t: DataFrame, *keep: str) -> dict[str, DataFrame]:
+    """Rows of the transaction tables; `t` carries external_id and content_hash, and what to keep beside."""
     return {
-        "transactions": facts.build_transactions(t),
-        "postings": facts.build_postings(t),
-        "transaction_metadata": facts.build_txn_meta(t),
-        "posting_metadata": facts.build_post_meta(t),
-        "transaction_tags": facts.build_txn_tags(t),
-        "transaction_links": facts.build_txn_links(t),
+        "transactions": facts.build_transactions(t, *keep),
+        "postings": facts.build_postings(t, *keep),
+        "transaction_metadata": facts.build_txn_meta(t, *keep),
+        "posting_metadata": facts.build_post_meta(t, *keep),
+        "transaction_tags": facts.build_txn_tags(t, *keep),
+        "transaction_links": facts.build_txn_links(t, *keep),
     }
 
 
@@ -115,10 +165,13 @@ def ledger_of(d: DataFrame, work: Workspace | None = None) -> dict[str, DataFram
 
 def load_batch(spark: SparkSession, d: DataFrame, root: str, version: int, batch: int, *, on_duplicate: str = "skip",
                resume: bool = False, strict: bool = True, with_state: bool = True, stream: str = "",
-               epoch: int | None = None) -> DataFrame:
-    """Load one run as one batch and return its report (action, n)."""
+               epoch: int | None = None, errors: DataFrame | None = None) -> DataFrame:
+    """Load one run as one batch and return its report (action, n).
+
+    `errors` are problems that a parser reports with the run: critical ones refuse it, warnings are counted."""
     if on_duplicate not in POLICIES:
         raise ValueError(f"on_duplicate must be one of {POLICIES}")
+    warned = None if errors is None else assert_no_critical(errors)
     led = store.read_ledger(spark, root, version, batch - 1)
     with Workspace(spark, "load") as work:
         run = prepare(d, led["transactions"], work, strict)
@@ -130,28 +183,27 @@ def load_batch(spark: SparkSession, d: DataFrame, root: str, version: int, batch
             tables["import_state"] = store.state_row(state.state_hash(state.run_hashes(run.ids, run.later)))
         store.write_batch(spark, tables, root, version, batch, stream, epoch)
         total, dropped = run.ids.count(), run.skipped.count()
-        rejected = 0 if strict else run.directives.filter("kind = 'transaction' AND invalid").count()
-    return spark.createDataFrame(
-        [("processed", total - dropped), ("skipped", dropped), ("rejected", rejected)], "action string, n bigint")
+    rows = [("processed", total - dropped), ("skipped", dropped), ("rejected", run.rejected)]
+    return spark.createDataFrame(rows + [("warnings", warned)] * (warned is not None), "action string, n bigint")
 
 
 def load(spark: SparkSession, d: DataFrame, root: str, *, on_duplicate: str = "skip", resume: bool = False,
-         strict: bool = True, with_state: bool = True) -> DataFrame:
+         strict: bool = True, with_state: bool = True, errors: DataFrame | None = None) -> DataFrame:
     """Append a run to the ledger at `root`; loading the same run again adds nothing.
 
-    `resume` skips stored transactions whatever the duplicate policy says."""
+    `resume` skips stored transactions whatever the duplicate policy says; `errors`: see load_batch."""
     version = max(store.current_version(spark, root), 1)
     batch = store.last_batch(spark, root, version) + 1
     report = load_batch(spark, d, root, version, batch, on_duplicate=on_duplicate, resume=resume, strict=strict,
-                        with_state=with_state)
+                        with_state=with_state, errors=errors)
     store.publish(spark, root, version)
     return report
 
 
-def rebuild(spark: SparkSession, d: DataFrame, root: str, *, strict: bool = True) -> DataFrame:
+def rebuild(spark: SparkSession, d: DataFrame, root: str, *, strict: bool = True, errors: DataFrame | None = None) -> DataFrame:
     """Replace everything: load into an empty new version and publish it when it is complete."""
     version = store.current_version(spark, root) + 1
-    report = load_batch(spark, d, root, version, 1, strict=strict)
+    report = load_batch(spark, d, root, version, 1, strict=strict, errors=errors)
     store.publish(spark, root, version)
     return report
 
@@ -181,47 +233,38 @@ def rollback_files(led: dict[str, DataFrame], files: list[str]) -> tuple[dict[st
 
 
 def rollback(spark: SparkSession, root: str, files: list[str]) -> DataFrame:
-    """Delete everything that came from the files and publish the rest as a new version."""
-    led = store.read_ledger(spark, root)
-    kept, counts = rollback_files(led, files)
-    counts = spark.createDataFrame(counts.collect(), counts.schema)      # one row per table
-    store.write_ledger(spark, kept, root)
-    return counts
+    """Delete everything that came from the files (compared by base name) and publish the rest as a new version.
+
+    Years and batches that hold nothing from the files are not written again."""
+    names = sorted({f.rsplit("/", 1)[-1] for f in files})
+    deleted = store.without_files(spark, root, names)
+    tables = ["transactions", *SOURCED, *CHILDREN]
+    return spark.createDataFrame([(t, deleted.get(t, 0)) for t in tables], "table string, deleted bigint")
 
 
 def preview(d: DataFrame, led: dict[str, DataFrame]) -> DataFrame:
     """What a load would do, without writing: (table, action, n). Stored duplicates count as skipped.
 
-    Rows of the transaction tables are counted from the arrays and maps of the directives in
-    a single aggregate; nothing is exploded."""
-    run = prepare(d, led["transactions"])
-    d, t = run.directives, run.directives.filter("kind = 'transaction' AND NOT invalid")
-    skipped = run.skipped.select("seq", F.lit(True).alias("_skip"))
-    size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    labels = lambda c: F.array_compact(F.array_distinct(c))
-    post_meta = F.aggregate(F.transform("postings", lambda p: F.greatest(F.size(stored_meta(p["meta"])), F.lit(0))),
-                            F.lit(0), lambda a, x: a + x)
-    fresh = F.col("_skip").isNull()
-    total = lambda c: F.coalesce(F.sum(F.when(fresh, F.greatest(c, F.lit(0)))), F.lit(0))
-    sizes = {
-        ("transactions", "create"): F.count_if(fresh),
-        ("transactions", "skip"): F.count_if(~fresh),
-        ("postings", "create"): total(size("postings")),
-        ("transaction_metadata", "create"): total(size(stored_meta("meta"))),
-        ("posting_metadata", "create"): total(F.coalesce(post_meta, F.lit(0))),
-        ("transaction_tags", "create"): total(size(labels("tags"))),
-        ("transaction_links", "create"): total(size(labels("links"))),
-    }
-    one = t.join(skipped, "seq", "left").agg(*[c.cast("bigint").alias(f"c{i}") for i, c in enumerate(sizes.values())])
-    rows = ", ".join(f"'{table}', '{action}', c{i}" for i, (table, action) in enumerate(sizes))
-    parts = [one.selectExpr(f"stack({len(sizes)}, {rows}) AS (table, action, n)")]
-    tables = registry_rows(d, led) | fact_rows(d, led)
-    accounts = tables.pop("accounts")
-    held = led["accounts"].select("name")
-    parts += [_count(df, table, "create") for table, df in tables.items()]
-    parts += [_count(accounts.join(held, "name", "left_anti"), "accounts", "create"),
-              _count(accounts.filter("status = 'closed'"), "accounts", "close")]
-    return reduce(DataFrame.unionByName, parts)
+    Only ids, hashes and the numbers of children are staged, and nothing stays."""
+    spark = d.sparkSession
+    with Workspace(spark, "preview") as work:
+        run = prepare(d, led["transactions"], work, narrow=True)
+        t = run.directives.filter("NOT invalid")
+        fresh = F.col("_skip").isNull()
+        sizes = {("transactions", "create"): F.count_if(fresh), ("transactions", "skip"): F.count_if(~fresh)}
+        sizes |= {(table, "create"): F.coalesce(F.sum(F.when(fresh, F.col(f"n_{table}"))), F.lit(0)) for table in child_counts()}
+        marked = t.join(run.skipped.select("seq", F.lit(True).alias("_skip")), "seq", "left")
+        row = marked.agg(*[c.cast("bigint").alias(f"c{i}") for i, c in enumerate(sizes.values())]).collect()[0]
+        counted = [(table, action, n) for (table, action), n in zip(sizes, row)]
+        others = d.filter(_complete(d))
+        tables = registry_rows(others, led) | fact_rows(others, led)
+        accounts = tables.pop("accounts")
+        held = led["accounts"].select("name")
+        parts = [_count(df, table, "create") for table, df in tables.items()]
+        parts += [_count(accounts.join(held, "name", "left_anti"), "accounts", "create"),
+                  _count(accounts.filter("status = 'closed'"), "accounts", "close")]
+        counted += [tuple(r) for r in reduce(DataFrame.unionByName, parts).collect()]      # a row per table
+    return spark.createDataFrame(counted, "table string, action string, n bigint")
 
 
 def _count(df: DataFrame, table: str, action: str) -> DataFrame:
@@ -237,12 +280,16 @@ def load_report(run: Run, chunk_size: int = 500) -> DataFrame:
             .agg(F.count_if(F.col("skip").isNull()).alias("processed"), F.count_if(F.col("skip") == 1).alias("skipped")))
 
 
-def source_state(d: DataFrame, exact_limit: int = state.EXACT_LIMIT) -> DataFrame:
-    """State hash of a run of directives."""
-    run = prepare(d)
-    return state.state_hash(state.run_hashes(run.ids, run.later), exact_limit)
+def source_state(d: DataFrame) -> DataFrame:
+    """State hash of a run of directives. Only ids and hashes are staged, and nothing stays."""
+    with Workspace(d.sparkSession, "state") as work:
+        run = prepare(d, work=work, narrow=True)
+        value = state.state_hash(state.run_hashes(run.ids, run.later)).collect()[0][0]
+    return d.sparkSession.createDataFrame([(value,)], "state_hash string")
 
 
-def check(spark: SparkSession, d: DataFrame, root: str) -> DataFrame:
+def check(spark: SparkSession, d: DataFrame, root: str, errors: DataFrame | None = None) -> DataFrame:
     """Compare the source's state hash with the one stored by the last load."""
+    if errors is not None:
+        assert_no_critical(errors)
     return state.check_sync(source_state(d), store.read_table(spark, root, "import_state"))

@@ -55,14 +55,15 @@ DIRECTIVE = T.StructType([
 # date so that every dated fact is partitioned by year and period queries prune
 # partitions instead of joining the two largest tables.
 TABLES = {
-    "commodities": "name string, metadata string",
-    "accounts": "name string, type string, status string, open_date date, close_date date, metadata string",
+    "commodities": "name string, metadata string, created_at timestamp",
+    "accounts": "name string, type string, status string, open_date date, close_date date, metadata string, "
+                "created_at timestamp",
     "transactions": "external_id string, date date, flag string, payee string, narration string, "
                     "source_file string, source_line bigint, content_hash string, "
                     "created_at timestamp, updated_at timestamp",
     "postings": "external_id string, posting_idx int, date date, flag string, account string, "
                 "amount decimal(19,4), currency string, cost_amount decimal(19,4), cost_currency string, "
-                "price_amount decimal(19,4), price_currency string",
+                "price_amount decimal(19,4), price_currency string, created_at timestamp",
     "posting_metadata": "external_id string, posting_idx int, key string, value string",
     "transaction_metadata": "external_id string, key string, value string",
     "tags": "name string",
@@ -71,8 +72,9 @@ TABLES = {
     "transaction_links": "external_id string, link string",
     "balance_assertions": "date date, account string, amount decimal(19,4), currency string, "
                           "source_file string, source_line bigint",
+    # seq: the import position, which orders the quotes of a day
     "prices": "date date, commodity string, price_amount decimal(19,4), price_currency string, "
-              "source_file string, source_line bigint",
+              "source_file string, source_line bigint, seq bigint",
     "ledger_events": "date date, name string, value string, source_file string, source_line bigint",
     "ledger_documents": "date date, account string, file_path string, source_file string, source_line bigint",
     "import_state": "id int, last_successful_hash string, updated_at timestamp",
@@ -87,7 +89,19 @@ SOURCED = ["balance_assertions", "prices", "ledger_events", "ledger_documents"]
 # Tables whose rows belong to a transaction.
 CHILDREN = ["postings", "posting_metadata", "transaction_metadata", "transaction_tags", "transaction_links"]
 
-# Required columns and unique keys, checked by the quality operators.
+# What a directive of each kind must have to be stored (fixed values, after NOT_NULL below).
+REQUIRED = {
+    "commodity": ["currency"],
+    "open": ["date", "account"],
+    "close": ["date", "account"],
+    "transaction": ["date"],
+    "balance": ["date", "account", "number", "number_currency"],
+    "price": ["date", "currency", "number", "number_currency"],
+    "event": ["date", "event_type", "description"],
+    "document": ["date", "account", "filename"],
+}
+
+# Required columns, unique keys and references, checked by the quality operators (fixed values).
 NOT_NULL = {
     "commodities": ["name"],
     "accounts": ["name", "type", "status"],

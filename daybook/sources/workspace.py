@@ -5,10 +5,13 @@ executor costs no recomputation of earlier steps."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
@@ -44,21 +47,40 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote, if it is there."""
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
+def folders_below(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """Partition folders, relative to the path, so many levels below it."""
+    fs, target = _fs(spark, path + "/*=*" * levels)
+    base = fs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(path)).toString()
+    found = fs.globStatus(target)
+    return sorted(x.getPath().toString()[len(base) + 1:] for x in (found or []))
+
+
 class Workspace:
     """Staged tables of one job; as a context manager it deletes them in the end.
 
-    Functions that return a lazy frame over staged tables use an own workspace that stays,
-    as checkpoint files do."""
+    Functions that return a lazy frame over staged tables use an own workspace that stays
+    until the driver program ends."""
 
     def __init__(self, spark: SparkSession, name: str = "work"):
         self.spark, self.path = spark, new_folder(spark, name)
+        atexit.register(self._end)
+
+    def _end(self) -> None:
+        with contextlib.suppress(Py4JError):     # the session may be gone already
+            delete(self.spark, self.path)
 
     def __enter__(self) -> "Workspace":
         return self
 
     def __exit__(self, *exc) -> None:
-        fs, target = _fs(self.spark, self.path)
-        fs.delete(target, True)
+        atexit.unregister(self._end)
+        delete(self.spark, self.path)
 
     def stage(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         """Write and read back."""

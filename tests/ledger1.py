@@ -1,6 +1,8 @@
 """A tiny ledger with hand-computed results."""
 
 import datetime as dt
+import hashlib
+from collections import Counter, defaultdict
 from decimal import Decimal
 
 from daybook.schema import DIRECTIVE
@@ -11,10 +13,22 @@ H4 = "e16ea628274cba11773ceacdda118ed75be0c5f748c4ff43a0b345dc32bf37ff"
 H6 = "b737a687d07588c4cd0c5cab339615275c303f978858fa2bb70fa1026c4fef00"
 H6B = "7bbc4a51e7acfd25cd7ce63dfce8cd0ce602b2bf0057fdd538216c6c6ef439b7"
 H7 = "1776f1bad397d423045497b4f4d681a0bc46c90a16d16113ab6b1c6bd8381c32"
-STATE = "672de15a31d0fb21ebb611cbeedcc00b75ffae5dbea2ae0e10cb8479ddb86d8c"
 EMPTY_STATE = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
+def fingerprint(hashes):
+    """The state of a multiset of hashes, in plain Python."""
+    sha, groups, tops = lambda t: hashlib.sha256(t.encode()).hexdigest(), defaultdict(list), defaultdict(list)
+    for h, n in Counter(hashes).items():
+        groups[hashlib.md5(h.encode()).hexdigest()[:6]].append(f"{h}:{n}")
+    for k, hs in groups.items():
+        tops[k[:3]].append(f"{k}:{sha(''.join(sorted(hs)))}")
+    return sha("".join(sorted(f"{k}:{sha(''.join(sorted(gs)))}" for k, gs in tops.items())))
+
+
+STATE = fingerprint([H1, H1, H3, H4, H6, H7])
+
+
 def day(text):
     return dt.date.fromisoformat(text)
 

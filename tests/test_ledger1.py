@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import ledger1 as G
 from daybook.operators import directives as D
@@ -95,10 +96,18 @@ def test_balances(led):
 def test_state(spark, d):
     run = L.prepare(d)
     hashes = state.run_hashes(run.ids, run.later)
-    assert tuple(state.state_hash(hashes).collect()[0]) == (G.STATE, "exact")
-    assert tuple(state.state_hash(hashes.limit(0)).collect()[0]) == (G.EMPTY_STATE, "exact")
-    big = state.state_hash(hashes, exact_limit=2).collect()[0]
-    assert big.method == "fingerprint" and big.state_hash == state.state_fingerprint(hashes.repartition(3)).collect()[0][0]
+    assert tuple(state.state_hash(hashes).collect()[0]) == (G.STATE,)
+    assert state.state_hash(hashes.repartition(3)).collect()[0][0] == state.state_fingerprint(hashes).collect()[0][0] == G.STATE
+    assert tuple(state.state_hash(hashes.limit(0)).collect()[0]) == (G.EMPTY_STATE,)
+    assert state.state_hash(hashes.union(hashes.limit(1))).collect()[0][0] != G.STATE
+
+
+def test_state_spreads_hashes_that_begin_alike(spark):
+    hashes = [f"fallback_{i}" for i in range(1000)] * 2
+    df = spark.createDataFrame([(h,) for h in hashes], "content_hash string")
+    assert state.state_hash(df).collect()[0][0] == G.fingerprint(hashes)
+    leaves = df.select(F.substring(F.md5("content_hash"), 1, 6)).distinct().count()
+    assert leaves > 990
 
 
 def test_sync_without_stored_hash(spark, d):

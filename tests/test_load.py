@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import ledger1 as G
 from daybook.operators import transactions as tx
@@ -83,20 +84,20 @@ def test_failed_load_leaves_nothing_visible(spark, d, tmp_path, monkeypatch):
     L.load(spark, d.filter("seq <= 12"), root)
     before = content(spark, root)
     write = store.write_table
-
-    def broken(df, table, path):
-        if table == "postings":
-            raise RuntimeError("lost")
-        write(df, table, path)
-
-    monkeypatch.setattr(store, "write_table", broken)
-    with pytest.raises(RuntimeError):
-        L.load(spark, d, root)
-    monkeypatch.undo()
-    assert content(spark, root) == before
-    L.load(spark, d, root)
+    for table in ["transactions", "postings", "accounts", "import_state"]:
+        def broken(df, name, path, batch=0):
+            if name == table:
+                raise RuntimeError("lost")
+            write(df, name, path, batch)
+
+        monkeypatch.setattr(store, "write_table", broken)
+        with pytest.raises(RuntimeError):
+            L.load(spark, d, root)
+        monkeypatch.undo()
+        assert content(spark, root) == before
     whole = str(tmp_path / "whole")
     L.load(spark, d, whole)
+    L.load(spark, d, root)
     assert content(spark, root) == content(spark, whole)
 
 
@@ -143,7 +144,7 @@ def test_stream_equals_batch_and_resumes(spark, d, tmp_path):
     batches = store.last_batch(spark, root, 1)
     stream_ingest(spark, src, root, checkpoint, max_files=1)
     assert store.last_batch(spark, root, 1) == batches
-    store.save_state(spark, root, L.source_state(d))
+    assert L.check(spark, d, root).collect()[0].in_sync
     a, b = content(spark, whole), content(spark, root)
     assert a == b
 
@@ -175,14 +176,40 @@ def test_duplicate_report(spark, d, tmp_path):
 def test_json_source_and_parse_errors(spark, d, tmp_path):
     path = tmp_path / "in"
     d.coalesce(1).write.json(str(path))
+    assert report(L.load(spark, S.read_directives(spark, [str(path)], "json"), str(tmp_path / "led"))) == {"processed": 6, "skipped": 1, "rejected": 0}
+    assert content(spark, str(tmp_path / "led"))["import_state"] == [(1, G.STATE)]
     (path / "bad.json").write_text('{"seq": 1, "kind": \n')
     back = S.read_directives(spark, [str(path)], "json")
-    assert back.count() == d.count()
-    assert report(L.load(spark, back, str(tmp_path / "led"))) == {"processed": 6, "skipped": 1, "rejected": 0}
     errors = S.parse_errors(spark, str(path))
-    assert errors.count() == 1
+    assert back.count() == d.count() + 1 and errors.count() == 1 and "bad.json" in errors.collect()[0].source_file
     with pytest.raises(S.CriticalErrors, match="ParserError"):
         S.assert_no_critical(errors)
+    before = content(spark, str(tmp_path / "led"))
+    for refused in (lambda: L.load(spark, back, str(tmp_path / "led"), strict=False), lambda: L.rebuild(spark, back, str(tmp_path / "led")),
+                    lambda: L.check(spark, back, str(tmp_path / "led")), lambda: L.preview(back, store.read_ledger(spark, str(tmp_path / "led")))):
+        with pytest.raises(S.CriticalErrors, match="bad.json"):
+            refused()
+    assert content(spark, str(tmp_path / "led")) == before
+    with pytest.raises(Exception, match="ParserError"):
+        stream_ingest(spark, str(path), str(tmp_path / "stream"), str(tmp_path / "cp"), fmt="json")
+
+
+def test_json_stream_is_the_batch(spark, d, tmp_path):
+    src, root, whole = (str(tmp_path / n) for n in ["src", "led", "whole"])
+    d.withColumn("source_file", F.when(F.col("kind") != "transaction", F.col("source_file"))).coalesce(1).write.json(src)
+    stream_ingest(spark, src, root, str(tmp_path / "cp"), fmt="json")
+    L.load(spark, S.read_directives(spark, src, "json"), whole)
+    assert content(spark, root) == content(spark, whole)
+    assert all(r.source_file.startswith("file:") for r in store.read_table(spark, root, "transactions").collect())
+
+
+def test_reported_errors(spark, d, tmp_path):
+    errors = spark.createDataFrame([("PadError", "m", "f", 1), ("ValidationError", "m", "f", 2)],
+                                   "error_type string, message string, source_file string, source_line bigint")
+    root = str(tmp_path / "led")
+    with pytest.raises(S.CriticalErrors, match="f:2"):
+        L.load(spark, d, root, errors=errors)
+    assert report(L.load(spark, d, root, errors=errors.limit(1))) == {"processed": 6, "skipped": 1, "rejected": 0, "warnings": 1}
 
 
 def test_triage(spark):
