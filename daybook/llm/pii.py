@@ -127,11 +127,9 @@ def phone(p: Permuter, text: str) -> str | None:
     if american:
         own = digits[-10:]
 
-        def valid(t: str) -> bool:
+        def assigned(t: str) -> bool:
             return t[0] not in "01" and t[3] not in "01"
-        if not valid(own):
-            return None
-        return spread(digits[:-10] + p.letters("phone", own, valid), text)
+        return spread(digits[:-10] + p.letters("phone", own, lambda t: assigned(t) == assigned(own)), text)
     return spread(digits[:2] + p.letters("phone " + digits[:2], digits[2:]), text) if 8 <= len(digits) <= 15 else None
 
 

@@ -103,6 +103,14 @@ def test_near_duplicates_are_brute_force(spark, odd, block, monkeypatch):
     assert len({(x.doc_id, x.text) for x in stay}) == len(set(want.values())) + 1  # two classes bear the id 9
 
 
+def test_op6_is_brute_force(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = classes(rows)
+    got = {r.doc_id: r for r in QUERIES["op6_near_duplicates"](spark, "/root/testdata/sf0.001").collect()}
+    assert {i: got[i].class_id for i, _ in rows} == {i: want[t] for i, t in rows}
+    assert all(r.kept == (r.doc_id == r.class_id) for r in got.values()) and len(set(want.values())) < len(rows)
+
+
 def test_near_duplicates_of_nothing(none, spark):
     assert neardup.near_duplicates(none).count() == 0
     nulls = spark.createDataFrame([(1, None), (1, None), (None, None)], "doc_id long, text string")
