@@ -89,7 +89,8 @@ def j4(spark, sf):
 @query("j5_optional_currencies", f"""SELECT cost_currency, price_currency, cost_currency IS NOT NULL AS has_cost,
     price_currency IS NOT NULL AS has_price, count(*) AS n, CAST(sum(amount) AS {TOTAL}) AS s FROM p GROUP BY ALL""", "p")
 def j5(spark, sf):
-    return (R.star(led(spark, sf)).groupBy("cost_currency", "price_currency", "has_cost", "has_price")
+    book = led(spark, sf)
+    return (R.optional_currencies(book["postings"], book["commodities"]).groupBy("cost_currency", "price_currency", "has_cost", "has_price")
             .agg(F.count(F.lit(1)).alias("n"), _total()))
 
 

@@ -95,11 +95,15 @@ def star(led: dict) -> DataFrame:
     splits a skewed key of the large sides otherwise."""
     accounts = led["accounts"].select(F.col("name").alias("account"), "type", "status")
     t = led["transactions"].select("external_id", "flag", "payee", "narration", "source_file")
-    names = led["commodities"].select("name")
+    return optional_currencies(led["postings"].drop("flag").join(accounts, "account").join(t, "external_id"), led["commodities"])
+
+
+def optional_currencies(postings: DataFrame, commodities: DataFrame) -> DataFrame:
+    """Postings with has_cost and has_price: whether they have a cost or price currency that is registered."""
+    names = commodities.select("name")
     cost = names.select(F.col("name").alias("cost_currency"), F.lit(True).alias("has_cost"))
     price = names.select(F.col("name").alias("price_currency"), F.lit(True).alias("has_price"))
-    return (led["postings"].drop("flag").join(accounts, "account").join(t, "external_id")
-            .join(cost, "cost_currency", "left").join(price, "price_currency", "left")
+    return (postings.join(cost, "cost_currency", "left").join(price, "price_currency", "left")
             .withColumn("has_cost", F.coalesce("has_cost", F.lit(False)))
             .withColumn("has_price", F.coalesce("has_price", F.lit(False))))
 
