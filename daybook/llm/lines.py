@@ -144,3 +144,26 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     joined = joined.withColumns({"n_removed_lines": F.coalesce(F.size("_l_gone"), F.lit(0)),
                                  text: F.when(F.col("_l_gone").isNull(), F.col(text)).otherwise(kept)})
     return joined.drop(*[c for c in joined.columns if c.startswith("_l_")])
+
+
+# For unique document ids; the order of texts of one id is not restated.
+CHECK_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM (
+    SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+w AS (SELECT *, row_number() OVER (ORDER BY doc_id, pos) AS o FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+d AS (SELECT line, length(line) AS n, min(o) AS o FROM w GROUP BY line),
+-- one edit leaves the first ten or the last ten of twenty characters as they are
+pair AS (SELECT a.line AS a, b.line AS b FROM d a JOIN d b ON substr(a.line, 1, 10) = substr(b.line, 1, 10)
+           WHERE b.o < a.o AND least(a.n, b.n) >= 20 AND abs(a.n - b.n) <= 1 AND levenshtein(a.line, b.line) <= 4
+         UNION SELECT a.line, b.line FROM d a JOIN d b ON substr(a.line, a.n - 9) = substr(b.line, b.n - 9)
+           WHERE b.o < a.o AND least(a.n, b.n) >= 20 AND abs(a.n - b.n) <= 1 AND levenshtein(a.line, b.line) <= 4),
+-- of characters, where levenshtein counts bytes
+near AS (SELECT DISTINCT a FROM (SELECT a, CASE WHEN length(a) < length(b) THEN b ELSE a END AS s, CASE WHEN length(a) < length(b) THEN a ELSE b END AS t FROM pair)
+         WHERE len(list_filter(range(1, length(s) + 1), lambda i: substr(s, 1, i - 1) = substr(t, 1, i - 1)
+               AND substr(s, i + 1) = substr(t, CASE WHEN length(s) = length(t) THEN i + 1 ELSE i END))) > 0),
+gone AS (SELECT w.doc_id, w.pos FROM w JOIN d USING (line) WHERE w.o <> d.o OR line IN (SELECT a FROM near))
+SELECT doc_id, CASE WHEN any_value(text) IS NULL THEN NULL ELSE coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT hit), '') END AS text,
+       count(*) FILTER (WHERE hit) AS n_removed_lines
+FROM (SELECT documents.doc_id, documents.text, l.pos, line, gone.pos IS NOT NULL AS hit FROM documents LEFT JOIN l USING (doc_id)
+      LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.pos = l.pos) GROUP BY doc_id
+"""

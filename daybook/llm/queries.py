@@ -71,6 +71,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "text", "n_removed_lines")
 
 
+CHECKS["op9_line_dedup"] = lines.CHECK_SQL
+
+
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
