@@ -93,6 +93,9 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, labels, RULES).select("page_id", "host", "path", "rule", "verdict", "confidence")
 
 
+CHECKS["op2_urls"] = urls.check_sql(RULES)
+
+
 @query
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)

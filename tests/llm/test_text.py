@@ -230,6 +230,28 @@ def test_op2(spark):
         assert r.verdict == (RULES[r.rule] if r.rule else "block" if r.confidence else "allow")
 
 
+def test_urls_equal_sql(spark):
+    r = random.Random(4)
+    pages, labels = [], []
+    for i in range(1500):
+        host, part = r.choice(["shop.bad.net", "www.good.net", "m.mixed.net", "x.org", "Y.com"]), r.choice(["en", "buy", "win", "de"])
+        url = f"http://{host}/{part}/{r.randrange(99)}" + r.choice(["", "?a=1&b", "?#f", "#x"])
+        pages.append((i, r.choice([url] * 30 + [None, "", "nourl"])))
+        bad = "bad" in host and part in ("buy", "win") or "mixed" in host and part == "win"
+        if r.random() < 0.8:
+            labels.append((i, int(r.random() < (0.05 if bad else 0.9)), int(r.random() < 0.03)))
+    con = duckdb.connect()
+    for name, columns, data in (("pages", "page_id long, url string", pages), ("labels", "doc_id long, quality int, toxic int", labels)):
+        spark.createDataFrame(data, columns).createOrReplaceTempView(name)
+        con.register(name, spark.table(name).toArrow())
+    rules = {"org/": "allow", "com/de/": "block"}
+    given = spark.table("labels").select(F.col("doc_id").alias("id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    df = urls.judge(spark.table("pages"), given, rules).select("page_id", "host", "path", "rule", "verdict", "confidence")
+    res = con.execute(urls.check_sql(rules))
+    got = rows(df.columns, [tuple(x) for x in df.collect()])
+    assert got == rows([c[0] for c in res.description], res.fetchall()) and sum(x is not None for x in df.toPandas()["confidence"]) > 50
+
+
 def test_mined_rules_are_brute_force(spark):
     r = random.Random(1)
     pages, labels = [], []
