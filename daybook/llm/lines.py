@@ -32,7 +32,7 @@ from .stage import staged
 
 LEAST = 20       # characters from which near lines count
 SEGMENTS = 8
-BITS = 1 << 27   # of the filter for lines that may have a near one
+BITS = 1 << 26   # of the filter for lines that may have a near one
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -129,7 +129,8 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     near = _near(docs).withColumn("near", F.lit(True))
     lines = _lines(docs).select(*PLACE, "h", "g")
     firsts = lines.groupBy("h", "g").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n"))
-    going = firsts.join(near, ["h", "g"], "left").where("n > 1 OR near").drop("n")
+    # staged, so that the join below has two plain shuffles as its sides and Spark can split a line that fills many rows
+    going = staged(firsts.join(near, ["h", "g"], "left").where("n > 1 OR near").drop("n"))
     hit = lines.join(going, ["h", "g"])
     return hit.where(F.col("near") | (F.struct(*PLACE) > F.col("first"))).groupBy("_l_id", "_l_hash").agg(F.collect_set("_l_at").alias("_l_gone"))
 
