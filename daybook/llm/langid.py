@@ -17,7 +17,6 @@ alike; more than LANGUAGES labels are an error; existing columns of the outputs'
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -33,15 +32,26 @@ ORDERS = (2, 3, 4)
 SMOOTH = 0.2
 ROUNDS = 12          # of expectation-maximisation
 PENALTY = 6.0        # log likelihood that a further language must win, times the log of the number of words
-KNOWN = 1 << 18      # words a worker remembers
+KNOWN = 1 << 22      # words times languages a worker remembers
 BLOCK = 1 << 22      # words times languages handled at a time
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of a word's n-grams."""
-    raw = f" {word} "
-    return [zlib.crc32(raw[i:i + n].encode()) % BUCKETS for n in ORDERS for i in range(len(raw) - n + 1)]
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the word, bucket) of every n-gram of the words; a space stands for each end of a word."""
+    points = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    spaces = np.cumsum(points == 32)
+    of, buckets = [], []
+    for n in ORDERS:
+        h = np.zeros(max(0, len(points) - n + 1), np.uint64)
+        for i in range(n):
+            h = (h ^ points[i:i + len(h)]) * np.uint64(0x9E3779B97F4A7C15 + 2 * n)
+            h ^= h >> np.uint64(29)
+        # no end of a word inside: a space is at most the first and the last character
+        inside = spaces[n - 2:n - 2 + len(h)] == spaces[:len(h)]
+        of.append(spaces[:len(h)][inside] - 1)
+        buckets.append((h[inside] >> np.uint64(40)) % np.uint64(BUCKETS))
+    return np.concatenate(of), np.concatenate(buckets).astype(np.int64)
 
 
 @dataclass
@@ -60,16 +70,16 @@ class Model:
         if new := {w for w in words if w not in self.rows}:
             if self.known is None or len(self.rows) + len(new) >= len(self.known):
                 self.rows, new = {}, set(words)
-                self.known = np.zeros((max(KNOWN, 2 * len(new) + 1), len(self.languages)), np.float32)
-            new = sorted(new)
-            at = [(w, grams(w)) for w in new if any(c.isalpha() for c in w)]
-            if at:
-                starts = np.cumsum([0] + [len(g) for _, g in at[:-1]])
+                self.known = np.zeros((max(KNOWN // len(self.languages), 2 * len(new) + 1), len(self.languages)), np.float32)
+            spelt = sorted(w for w in new if any(c.isalpha() for c in w))
+            if spelt:
+                of, buckets = grams(spelt)
                 first = len(self.rows) + 1
-                self.known[first:first + len(at)] = np.add.reduceat(self.log_p[[b for _, g in at for b in g]], starts) / len(ORDERS)
-                for w, _ in at:
-                    self.rows[w] = len(self.rows) + 1
-            self.rows.update((w, 0) for w in new if w not in self.rows and not any(c.isalpha() for c in w))
+                for k in range(len(self.languages)):
+                    total = np.bincount(of, self.log_p[buckets, k], len(spelt))
+                    self.known[first:first + len(spelt), k] = total / len(ORDERS)
+                self.rows.update(zip(spelt, range(first, first + len(spelt))))
+            self.rows.update(dict.fromkeys(new.difference(spelt), 0))
         return [r for r in map(self.rows.__getitem__, words) if r]
 
 
@@ -94,25 +104,33 @@ def mixtures(log_p: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def chosen(log_p: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Shares of the chosen language sets, 0 outside of them."""
+    """Shares of the chosen language sets, 0 outside of them.
+
+    No mixture is likelier than every word in its own best language. Documents for which even that bound does not
+    win the penalty over their best language alone need no estimation."""
     lengths = np.diff(np.append(starts, len(log_p)))
     singles = np.add.reduceat(log_p, starts, axis=0)
-    order = np.argsort(-mixtures(log_p, starts)[0], axis=1, kind="stable")
-    best = singles.argmax(axis=1)  # the best language alone comes first in the set
-    order = np.concatenate([best[:, None], order], axis=1)
-    rank = np.array([[row.tolist().index(k) for k in range(log_p.shape[1])] for row in order])
-    shares, now = np.zeros(singles.shape), singles.max(axis=1).astype(np.float64)
+    best, now = singles.argmax(axis=1), singles.max(axis=1).astype(np.float64)
+    penalty = PENALTY * np.log(lengths + 1)
+    shares = np.zeros(singles.shape)
     shares[np.arange(len(best)), best] = 1.0
-    open_ = np.arange(len(starts))
-    ranked = np.argsort(np.argsort(rank, axis=1), axis=1)  # 0: first in the set
+
+    def of(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([np.arange(starts[d], starts[d] + lengths[d]) for d in docs]), np.concatenate([[0], np.cumsum(lengths[docs])[:-1]])
+    open_ = np.flatnonzero(np.add.reduceat(log_p.max(axis=1), starts) - now > penalty)
+    if len(open_):
+        words, own = of(open_)
+        full = mixtures(log_p[words], own)[0]
+        full[np.arange(len(open_)), best[open_]] = 2.0  # the best language alone comes first in the set
+        rank = np.zeros(shares.shape, np.int64)
+        rank[open_] = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
     for size in range(2, log_p.shape[1] + 1):
         if not len(open_):
             break
-        words = np.concatenate([np.arange(starts[d], starts[d] + lengths[d]) for d in open_])
-        own = np.concatenate([[0], np.cumsum(lengths[open_])[:-1]])
-        inside = np.repeat(ranked[open_] < size, lengths[open_], axis=0)
+        words, own = of(open_)
+        inside = np.repeat(rank[open_] < size, lengths[open_], axis=0)
         got, value = mixtures(np.where(inside, log_p[words], -np.inf), own)
-        better = value - now[open_] > PENALTY * np.log(lengths[open_] + 1)
+        better = value - now[open_] > penalty[open_]
         shares[open_[better]], now[open_[better]] = got[better], value[better]
         open_ = open_[better]
     return shares
@@ -160,9 +178,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
             for t, k in zip(batch.column(0), batch.column(1)):
                 words.setdefault(k.as_py(), Counter()).update(WORD.findall(t.as_py().lower()))
         for k, seen in words.items():
-            n = np.zeros(BUCKETS, np.int64)
-            for word, times in seen.items():
-                np.add.at(n, grams(word), times)
+            of, buckets = grams(list(seen))
+            n = np.bincount(buckets, np.array(list(seen.values()))[of], BUCKETS).astype(np.int64)
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(at)), pa.array(at, pa.int32()), pa.array(n[at])], ["lang", "bucket", "n"])
     # at most BUCKETS x LANGUAGES rows reach the driver
