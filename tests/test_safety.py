@@ -17,7 +17,7 @@ from daybook.operators.analytics import cost_basis, unbalanced
 from daybook.plans import load as L
 from daybook.sources import directives as S
 from daybook.sources import store
-from daybook.streaming.ingest import append_chunks
+from daybook.streaming.ingest import append_chunks, stream_ingest
 from test_load import content, report
 
 
@@ -78,6 +78,31 @@ def test_save_state_after_a_broken_load(spark, d, tmp_path, monkeypatch):
     assert content(spark, root) == content(spark, whole)
 
 
+def test_broken_stream_goes_on(spark, d, tmp_path, monkeypatch):
+    """A micro-batch that dies leaves nothing; the restart loads it, and a rollback works on what both left."""
+    src, root, whole = (str(tmp_path / n) for n in ["src", "led", "whole"])
+    d.filter("seq <= 12").coalesce(1).write.parquet(src)
+    stream_ingest(spark, src, root, str(tmp_path / "cp"), max_files=1)
+    before, write = content(spark, root), store.write_table
+    d.filter("seq > 12").coalesce(1).write.mode("append").parquet(src)
+
+    def broken(df, table, path, batch=0):
+        write(df, table, path, batch)
+        if table == "prices":
+            raise RuntimeError("lost")
+    monkeypatch.setattr(store, "write_table", broken)
+    with pytest.raises(Exception, match="lost"):
+        stream_ingest(spark, src, root, str(tmp_path / "cp"), max_files=1)
+    monkeypatch.undo()
+    assert content(spark, root) == before
+    stream_ingest(spark, src, root, str(tmp_path / "cp"), max_files=1)
+    L.load(spark, d, whole)
+    assert content(spark, root) == content(spark, whole)
+    L.rollback(spark, root, ["b.ledger"])
+    L.rollback(spark, whole, ["b.ledger"])
+    assert content(spark, root) == content(spark, whole)
+
+
 def test_broken_rollback_changes_nothing(spark, d, tmp_path, monkeypatch):
     root = str(tmp_path / "led")
     L.load(spark, d, root)
