@@ -38,7 +38,7 @@ from .bpe import CACHED_LENGTH, pieces_of
 TIERS = (128, 256, 512, 1024)
 POOL = 1 << 19           # tokens of remainders a task gathers before it packs them
 STEP = 1 << 16           # tokens of a step
-CACHED = 1_000_000         # pieces of text a worker remembers
+CACHED = 700_000         # pieces of text in one of the two generations a worker remembers
 BLOCK = 1 << 19          # bytes of text encoded at a time
 OUT_BYTES = 1 << 24      # ids in one batch of output rows
 
@@ -65,11 +65,16 @@ class Encoder:
         for t, i in vocab.items():
             self.widths[i] = len(t)
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}      # the generation before: what is met again moves over
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: set[str]) -> None:
+        if self.older:
+            met = {p: self.older[p] for p in new if p in self.older}
+            self.pieces.update(met)
+            new = new.difference(met)
         words = [p for p in new if p[0] == " " and p[1:].isalpha()]  # in a row, each is again a piece
         if words:
             ids = np.array(self.library.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
@@ -92,7 +97,8 @@ class Encoder:
         known = self.pieces
         new = {p for s in split if s for p in s if p not in known}
         if len(known) + len(new) > CACHED:
-            known.clear()
+            self.older, self.pieces = known, {}
+            known = self.pieces
             new = {p for s in split if s for p in s}
         if new:
             self._learn(new)

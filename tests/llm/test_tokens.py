@@ -138,6 +138,16 @@ def test_packing(spark, odd, none, docs):
         packing.pack(docs, PATH, tiers=(100, 1024))
 
 
+def test_encoder_that_forgets(monkeypatch):
+    """Any number of remembered pieces gives the same ids."""
+    texts = random_texts(600)
+    for cached in (0, 5, 60, 10 ** 6):
+        monkeypatch.setattr(packing, "CACHED", cached)
+        code = packing.Encoder(PATH)
+        got = [i for at in range(0, 600, 7) for i in code.ids(texts[at:at + 7])]
+        assert got == [np.array(ids_of(t), "<u4").tobytes() for t in texts]
+
+
 def test_packer_cuts_only_to_fill():
     p = packing.Packer()
     out = []
