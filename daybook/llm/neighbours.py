@@ -9,7 +9,8 @@ leaves. A query goes on until the visited leaves hold enough vectors for its res
 Inner products become distances by one further component that brings every vector to the largest norm.
 
 Work is dealt in cells: leaves in a row of about CELL vectors together, and large leaves in several cells, by
-counts, so a leaf of equal vectors is spread. Vectors and queries of a cell meet in groups of bounded size. Results
+counts, so a leaf of equal vectors is spread. Vectors and queries of a cell meet in groups of bounded size; equal
+vectors of a leaf are scored once, and at most PAIRS scores are held before they are cut to the best. Results
 are scored on the original vectors in double precision, component by component.
 
 Only the tree, the leaf counts (LEAVES at most) and the calibration's results reach the driver.
@@ -40,6 +41,7 @@ QUERIES = 256        # calibration queries
 TARGET = 0.96        # recall that widening must reach on them
 CELL = 1 << 14       # vectors in a cell
 GROUP = 1 << 11      # queries that meet a cell at a time
+PAIRS = 1 << 20      # scores held at a time
 CLOSE = 1e-9         # slack of fast scores
 
 
@@ -148,11 +150,11 @@ def nearest(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(np.ones(scores.shape, bool))
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows, added component by component."""
-    total = np.zeros(len(a))
+def exact(a: np.ndarray, rows: np.ndarray, b: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Inner products of a[rows] and b[cols], added component by component; only one component is gathered at a time."""
+    total = np.zeros(len(rows))
     for i in range(a.shape[1]):
-        total += a[:, i] * b[:, i]
+        total += a[rows, i] * b[cols, i]
     return total
 
 
@@ -165,6 +167,57 @@ def best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.nd
     return order[rank < k]
 
 
+def first_equals(v: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the first k rows of each group of equal rows, in order. More of them cannot be among a query's k best
+    where rows stand by id."""
+    if len(v) <= k:
+        return np.arange(len(v))
+    rows = np.ascontiguousarray(v + 0.0).view(np.dtype((np.void, v.shape[1] * v.itemsize))).ravel()  # no negative zeros
+    of = np.unique(rows, return_inverse=True)[1].ravel()
+    order = np.argsort(of, kind="stable")
+    starts = np.flatnonzero(np.append(True, of[order][1:] != of[order][:-1]))
+    rank = np.arange(len(v)) - np.repeat(starts, np.diff(np.append(starts, len(v))))
+    return np.sort(order[rank < k])
+
+
+def meet(asked: pd.DataFrame, there: pd.DataFrame, k: int) -> pd.DataFrame:
+    """query_id, vec_id, score: the k best for the queries (query_id, v, leaves) among the vectors (vec_id, v, leaf) of
+    their leaves."""
+    kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    if len(asked) and len(there):
+        there = there.sort_values(["leaf", "vec_id"], kind="stable")
+        ids, q = asked["query_id"].to_numpy(), matrix(asked["v"])
+        vec, v, leaf = there["vec_id"].to_numpy(), matrix(there["v"]), there["leaf"].to_numpy()
+        of: dict[int, list[int]] = {}
+        for row, some in enumerate(asked["leaves"]):
+            for x in some:
+                of.setdefault(int(x), []).append(row)
+        parts, held = [kept], 0
+
+        def cut() -> list[np.ndarray]:
+            whole = [np.concatenate(x) for x in zip(*parts)]
+            top = best(*whole, k)
+            return [x[top] for x in whole]
+        for x, rows in of.items():
+            begin, end = np.searchsorted(leaf, [x, x + 1])
+            if begin == end:
+                continue
+            cols = begin + first_equals(v[begin:end], k + 1)  # the query itself may be one of them
+            own, rows, block = v[cols], np.array(rows), max(1, PAIRS // len(cols))
+            for at in range(0, len(rows), block):
+                some = rows[at:at + block]
+                r, c = nearest(q[some] @ own.T, k + 1)
+                r, c = some[r], cols[c]
+                other = ids[r] != vec[c]
+                r, c = r[other], c[other]
+                parts.append([ids[r], vec[c], exact(q, r, v, c)])
+                held += len(r)
+                if held > PAIRS:
+                    parts, held = [cut()], 0
+        kept = cut()
+    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), kept)))
+
+
 def usable(v: Column) -> Column:
     """Not null, some component, all finite, not all zero."""
     return F.coalesce((F.size(v) > 0) & F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
@@ -231,7 +284,7 @@ def brute_force(leaves: DataFrame, queries: DataFrame, k: int) -> pd.DataFrame:
             rows, cols = nearest(q @ v.T, k + 1)
             other = ids[rows] != vec[cols]
             rows, cols = rows[other], cols[other]
-            keep = [np.concatenate([x, y]) for x, y in zip(keep, (ids[rows], vec[cols], exact(q[rows], v[cols]), leaf[cols]))]
+            keep = [np.concatenate([x, y]) for x, y in zip(keep, (ids[rows], vec[cols], exact(q, rows, v, cols), leaf[cols]))]
             top = best(keep[0], keep[1], keep[2], k)
             keep = [x[top] for x in keep]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in keep], ["query_id", "vec_id", "score", "leaf"])
@@ -306,35 +359,10 @@ def search(table: DataFrame, queries: Column, k: int = 20, key: str = "vec_id",
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["cell", "query_id", "v", "leaves"])
 
-    def meet(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple[np.ndarray, ...]] = []
-        if len(asked) and len(there):
-            there = there.sort_values(["leaf", "vec_id"], kind="stable")
-            ids, q = asked["query_id"].to_numpy(), matrix(asked["v"])
-            vec, v, leaf = there["vec_id"].to_numpy(), matrix(there["v"]), there["leaf"].to_numpy()
-            of: dict[int, list[int]] = {}
-            for row, some in enumerate(asked["leaves"]):
-                for x in some:
-                    of.setdefault(int(x), []).append(row)
-            for x, rows in of.items():
-                begin, end = np.searchsorted(leaf, [x, x + 1])
-                if begin == end:
-                    continue
-                rows = np.array(rows)
-                r, c = nearest(q[rows] @ v[begin:end].T, k + 1)
-                r, c = rows[r], c + begin
-                other = ids[r] != vec[c]
-                kept.append((ids[r[other]], vec[c[other]], exact(q[r[other]], v[c[other]])))
-        if not kept:
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        query, vec, score = (np.concatenate(x) for x in zip(*kept))
-        top = best(query, vec, score, k)
-        return pd.DataFrame({"query_id": query[top], "vec_id": vec[top], "score": score[top]})
-
     there = leaves.mapInArrow(vector_cells, "cell long, vec_id long, v array<double>, leaf int")
     there = there.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     wanted = asked.mapInArrow(query_cells, "cell long, query_id long, v array<double>, leaves array<int>")
     wanted = wanted.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
-    near = wanted.groupBy("cell", "part").cogroup(there.groupBy("cell", "part")).applyInPandas(meet, schema)
+    near = wanted.groupBy("cell", "part").cogroup(there.groupBy("cell", "part")).applyInPandas(lambda asked, there: meet(asked, there, k), schema)
     top = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,9 +1,11 @@
 """Near-duplicates, neighbours and the pipeline."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -189,6 +191,27 @@ def test_neighbours_with_many_equal_vectors(spark, monkeypatch):
     assert got[200] == want[200]
 
 
+def test_a_hot_vector_in_bounded_memory():
+    """A full cell of one vector, and as many equal queries as a third of a group."""
+    r = np.random.default_rng(5)
+    v = np.repeat(r.normal(size=(1, 64)), neighbours.CELL, axis=0)
+    v[::100] = r.normal(size=(len(v[::100]), 64))
+    v[7] = -v[7]
+    there = pd.DataFrame({"vec_id": np.arange(len(v)), "v": list(v), "leaf": 3}).sample(frac=1, random_state=1)
+    ids = np.arange(1, 681)
+    asked = pd.DataFrame({"query_id": ids, "v": list(v[ids]), "leaves": [[3]] * len(ids)})
+    tracemalloc.start()
+    got = neighbours.meet(asked, there, 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 << 20 and len(got) == 20 * len(ids)
+    by = dict(list(got.groupby("query_id")))
+    for i in (1, 7, 15, 100, 680):
+        score = sum(v[:, c] * v[i, c] for c in range(64))
+        want = [j for j in np.lexsort((np.arange(len(v)), -score)) if j != i][:20]
+        assert by[i]["vec_id"].tolist() == want and by[i]["score"].tolist() == score[want].tolist()
+
+
 def test_cells():
     counts = np.array([5, 5, 250, 3, 3, 99, 1])
     first, parts = neighbours.cells_of(counts, 100)
