@@ -9,7 +9,11 @@ walking), so a valid card, date or number becomes another valid one.
 Kinds: card (Luhn), iban (mod 97), ssn, phone, ipv4, date (1900 to 2099), email, secret (access keys, and values
 named password, token, secret or api key).
 
-Defined results: null text stays null, empty text empty; numbers that fail validation stay; repeated rows are
+A card or IBAN that fails validation may have taken what follows it (a security code, an expiry date, a word): the
+shorter ends at its separators are tried as well, an IBAN's country length first. Cards in the usual groups go before
+others.
+
+Defined results: null text stays null, empty text empty; numbers that fail validation at every end stay; repeated rows are
 treated alike; the text column is replaced and all other columns are kept; an existing column `spans` is replaced.
 """
 
@@ -18,7 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -115,6 +119,41 @@ def iban(p: Permuter, text: str) -> str | None:
     return spread(f"{plain[:2]}{98 - mod97(plain[:2] + '00' + body):02d}{body}", text)
 
 
+def country_end(text: str) -> int | None:
+    """Where an IBAN of its country's length ends in the text, at a separator or the text's end."""
+    length, n = IBAN_LENGTHS.get(text[:2]), 0
+    for i, c in enumerate(text):
+        n += c != " "
+        if n == length:
+            return i + 1 if text[i + 1:i + 2] in ("", " ") else None
+    return None
+
+
+def usual(text: str) -> bool:
+    """Whether a card number stands in one piece or in groups that cards are printed in."""
+    return tuple(len(x) for x in re.split("[ -]", text)) in CARD_GROUPS or text.isdigit()
+
+
+def passes(text: str) -> bool:
+    digits = re.sub(r"\D", "", text)
+    return 13 <= len(digits) <= 19 and luhn(digits) == 0 and len(set(digits)) > 1
+
+
+def card_ends(text: str) -> Iterator[int]:
+    """The ends at which a card may stop in a match: usual groups first, then the whole, then what else passes. None
+    where a card in usual groups begins later in the match, or one that begins later ends with it."""
+    cuts = [m.start() for m in re.finditer("[ -]", text)]
+    short = [e for e in reversed(cuts) if passes(text[:e])]
+    if usual(text):
+        yield len(text)
+    yield from (e for e in short if usual(text[:e]))
+    later = [(text[a + 1:e], e) for a in cuts if text[a] == " " for e in (*cuts, len(text)) if e > a and passes(text[a + 1:e])]
+    if not any(usual(t) for t, _ in later):
+        yield len(text)
+        if not any(e == len(text) for _, e in later):
+            yield from short
+
+
 def ssn(p: Permuter, text: str) -> str | None:
     def valid(t: str) -> bool:
         return t[:3] not in ("000", "666") and t[0] != "9" and t[4:6] != "00" and t[7:] != "0000"
@@ -181,10 +220,28 @@ def secret(p: Permuter, text: str) -> str:
     return p.letters("secret hex", text, known=(DIGITS, LOWER[:6])) if re.fullmatch("[0-9a-f]+", text) else p.letters("secret", text)
 
 
+CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
+IBAN_LENGTHS = {c: int(n) for n, some in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+    "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+    "28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split())
+    for c in some.split(",")}
 KINDS = {"email": email, "access": access, "iban": iban, "date": date, "ipv4": ipv4, "ssn": ssn, "phone": phone, "card": card,
          "secret": secret}
 
 
+def ends(kind: str, value: str) -> Iterator[int]:
+    """The ends at which a found value is tried."""
+    if kind == "card":
+        yield from card_ends(value)
+        return
+    if kind == "iban" and (own := country_end(value)):
+        yield own
+    yield len(value)
+    if kind == "iban" and value[:2] not in IBAN_LENGTHS:
+        yield from reversed([i for i, c in enumerate(value) if c == " "])
+
+
 def pseudonymised(p: Permuter, text: str) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, length) of each. Formats keep their lengths, so starts hold in both."""
     if not TRIGGER.search(text):
@@ -193,7 +250,11 @@ def pseudonymised(p: Permuter, text: str) -> tuple[str, list[tuple[str, int, int
     while m := FIND.search(text, at):
         kind = m.lastgroup if m.lastgroup != "named" else "secret"
         begin, end = m.span(kind)
-        new = KINDS[kind](p, m.group(kind))
+        value, new = m.group(kind), None
+        for last in ends(kind, value):
+            if new := KINDS[kind](p, value[:last]):
+                end = begin + last
+                break
         if new is None:  # its digits may be part of another number
             at = begin + 1
             continue

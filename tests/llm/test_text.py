@@ -139,6 +139,23 @@ def test_pseudonyms():
         assert pii.pseudonymised(p, plain) == (plain, [])
 
 
+def test_values_with_others_behind_them():
+    p = pii.Permuter(b"key")
+    cards = ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "3782 822463 10005", "41 11 11 11 11 11 11 11"]
+    ibans = ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]
+    for kind, values, behind in (("card", cards, ["", " 123", " 12", " 7", " 12/26", "-123", " 1234", " 12 123", ", CVV 123", " 5500 0000 0000 0004", " exp"]),
+                                 ("iban", ibans, ["", " BIC CAIXESBB", " BIC", " EUR 100", " BANK", " PAYMENT DUE NOW", " 2024 12", "."])):
+        for v in values:
+            alone, _ = pii.pseudonymised(p, v)
+            for b in behind:
+                for front in ("", "pay ", "123 " if kind == "card" and v[0] in "34" and v != cards[-1] else "to: "):
+                    new, spans = pii.pseudonymised(p, front + v + b)
+                    assert spans[0] == (kind, len(front), len(v)) and len(new) == len(front + v + b), (front, v, b, spans)
+                    assert new[len(front):len(front + v)] == alone != v and new.startswith(front)
+    for plain in ("4111 1111 1111 1112 123", "ES91 2100 0418 4502 0005 1333 BIC CAIXESBB", "1111 1111 1111 1111 11"):
+        assert pii.pseudonymised(p, plain) == (plain, [])
+
+
 def test_dates_stay_dates_and_differ():
     p = pii.Permuter(b"key")
     forms = [f"{d:02d}/{m:02d}/2020" for d in range(1, 32) for m in range(1, 32) if (d <= 12 or m <= 12) and min(d, m) <= 12 and max(d, m) <= 28]
