@@ -38,6 +38,34 @@ def test_alignment_is_brute_force():
         assert (got >= 0.8) == (want >= 0.8 and bool(b)) and (got < 0.8 or abs(got - want) < 1e-9)
 
 
+def test_long_alignments_are_brute_force(monkeypatch):
+    """The same results where few or no bitmaps are held, also with frequent elements."""
+    monkeypatch.setattr(neardup, "NARROW", 10)
+    r = random.Random(8)
+    for frequent in (2, 5, 40):
+        monkeypatch.setattr(neardup, "FREQUENT", frequent)
+        for _ in range(150):
+            a = [r.choice([0, 0, 0, r.randrange(9), r.randrange(200)]) for _ in range(r.randrange(11, 90))]
+            b = [x for x in a if r.random() < 0.95] + [r.randrange(9)]
+            m = common_in_order(a, b)
+            assert neardup.matched(a, b, max(len(a), len(b))) == m
+            got, want = neardup.similarity(np.array(a, np.uint64), np.array(b, np.uint64)), m / (len(a) + len(b) - m)
+            assert (got >= 0.8) == (want >= 0.8) and (got < 0.8 or abs(got - want) < 1e-9)
+
+
+def test_very_long_texts_align_in_bounded_memory():
+    n = 300_000
+    a = np.random.default_rng(1).integers(0, 1 << 62, n, dtype=np.uint64)
+    b = a.copy()
+    b[[0, n // 2, n - 1]] = [1, 2, 3]
+    tracemalloc.start()
+    assert neardup.similarity(a, b) == (n - 3) / (n + 3)
+    assert neardup.similarity(a, a[::-1] ^ np.uint64(1)) == 0.0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+
+
 def test_sketch_sees_order():
     words = [f"w{i}" for i in range(300)]
     r = random.Random(1)
