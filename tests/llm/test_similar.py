@@ -141,6 +141,16 @@ def test_op6_is_brute_force(spark, docs):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got.values()) and len(set(want.values())) < len(rows)
 
 
+def test_one_row_of_a_class_stays(spark):
+    """Rows that repeat id and text, equal texts without ids, and near copies of repeated rows."""
+    long = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, long)] * 40 + [(2, long + " more")] * 3 + [(None, long)] * 5 + [(None, "No id here, but a text.")] * 7 + [(3, "")] * 4 + [(None, None)] * 2
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert len(got) == len(rows)
+    assert sorted((x.class_id or 0, x.doc_id or 0, x.text or "") for x in got if x.kept) == sorted(
+        [(1, 1, long), (0, 0, "No id here, but a text."), (3, 3, ""), (0, 0, ""), (0, 0, "")])
+
+
 def test_near_duplicates_of_nothing(none, spark):
     assert neardup.near_duplicates(none).count() == 0
     nulls = spark.createDataFrame([(1, None), (1, None), (None, None)], "doc_id long, text string")
