@@ -2,13 +2,16 @@
 
 Each document (its ids, then `end`) is routed by length: whole windows of the largest tier leave at once, the
 remainder goes to the smallest tier that holds it. A remainder that fills its tier is a sequence of its own.
-Then the longest tier is packed first: a long piece opens a window, and the gap is filled with the longest pieces
-of the shorter tiers that fit; if none fits, the shortest piece left is cut. So every window but the last of a
-partition is full. Sequences of one tier are dealt to steps of equal token counts.
+Then the longest tier is packed first: a piece opens a window of its tier, and the gap is filled with the longest
+pieces that fit, of the shorter tiers where it is small; if none fits, the shortest piece left is cut. What long windows
+do not take is packed into windows of its own tier. So every window but the last of a partition is full.
 
 Packing runs inside the partitions of the input: no row is shuffled, a task holds one pool of remainders
-(POOL tokens), and a repeated task gives the same rows for the same partition. Padding is at most one window per
-partition. Sequence and step ids carry the partition's number in their upper bits.
+(POOL tokens). Padding is at most one window per partition. Sequence ids carry the partition's number in their upper bits.
+
+Sequences of one tier are dealt to steps of equal token counts over all partitions: the packed rows are staged, and the
+partitions' counts of sequences (a row for each partition and tier) say where each goes on. Only a tier's last step can
+hold less.
 
 Output, one row per piece: id, start (ids of the document before it), length, ids (binary, little-endian unsigned
 32-bit), doc_tokens (with `end`), sequence_id, offset, tier, step.
@@ -34,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import CACHED_LENGTH, pieces_of
+from .stage import staged
 
 TIERS = (128, 256, 512, 1024)
 POOL = 1 << 19           # tokens of remainders a task gathers before it packs them
@@ -179,7 +183,9 @@ class Packer:
     def pack(self, keep: int = 0) -> Iterator[tuple[int, list[Piece]]]:
         """Fills windows, longest tier first, until at most `keep` tokens wait."""
         while self.pool.tokens > keep:
-            pieces, room = [], self.window
+            opening = self.pool.longest(self.window)
+            tier = self.tier(opening.length)
+            pieces, room = [opening], tier - opening.length
             while room:
                 piece = self.pool.longest(room)
                 if piece is None:
@@ -190,7 +196,7 @@ class Packer:
                     piece = piece._replace(ids=piece.ids[:4 * room])
                 pieces.append(piece)
                 room -= piece.length
-            yield self.window, pieces
+            yield tier, pieces
 
 
 def blocks(texts: pa.Array) -> Iterator[range]:
@@ -205,7 +211,7 @@ def blocks(texts: pa.Array) -> Iterator[range]:
         yield range(begin, len(texts))
 
 
-def _rows(batches, path: str, end: int, tiers: tuple[int, ...], pool: int, step: int, kind: pa.Schema):
+def _rows(batches, path: str, end: int, tiers: tuple[int, ...], pool: int, kind: pa.Schema):
     first = TaskContext.get().partitionId() << 32
     code, last, packer = encoder(path), end.to_bytes(4, "little"), Packer(tiers, pool)
     sequence, dealt = first, dict.fromkeys(tiers, 0)
@@ -220,9 +226,9 @@ def _rows(batches, path: str, end: int, tiers: tuple[int, ...], pool: int, step:
         yield from packer.pack()
 
     for tier, pieces in packed():
-        offset, of_step = 0, first + dealt[tier] * tier // step * len(tiers) + tiers.index(tier)
+        offset = 0
         for p in pieces:
-            for column, x in zip(columns, (p.doc, p.start, p.length, p.ids, p.doc_tokens, sequence, offset, tier, of_step)):
+            for column, x in zip(columns, (p.doc, p.start, p.length, p.ids, p.doc_tokens, sequence, offset, tier, dealt[tier])):
                 column.append(x)
             offset += p.length
             size += len(p.ids)
@@ -241,8 +247,18 @@ def pack(docs: DataFrame, path: str, end: int = 0, text: str = "text", key: str
         raise ValueError("tiers must be powers of two")
     kind = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                       ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()),
-                      ("step", pa.int64())])
+                      ("at", pa.int64())])
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(lambda batches: _rows(batches, path, end, tuple(sorted(tiers)), pool, step, kind),
-                             "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
-                             "offset long, tier int, step long")
+    tiers = tuple(sorted(tiers))
+    packed = staged(narrow.mapInArrow(lambda batches: _rows(batches, path, end, tiers, pool, kind),
+                                      "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
+                                      "offset long, tier int, at long"))  # at: number of the sequence in its partition and tier
+    part = F.shiftright("sequence_id", 32)
+    before, begins = dict.fromkeys(tiers, 0), []
+    for r in packed.groupBy(part.alias("part"), "tier").agg(F.max("at").alias("last")).orderBy("part").collect():
+        begins.append((r["part"], r["tier"], before[r["tier"]]))
+        before[r["tier"]] += r["last"] + 1
+    first = docs.sparkSession.createDataFrame(begins, "_p_part long, _p_tier int, _p_first long")
+    number = F.floor((F.col("_p_first") + F.col("at")) * F.col("tier") / step) * len(tiers) + F.array_position(F.array(*map(F.lit, tiers)), F.col("tier")) - 1
+    return packed.join(F.broadcast(first), (part == F.col("_p_part")) & (F.col("tier") == F.col("_p_tier"))).withColumn(
+        "step", number.cast("long")).drop("at", "_p_part", "_p_tier", "_p_first")

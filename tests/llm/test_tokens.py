@@ -159,6 +159,33 @@ def test_packer_cuts_only_to_fill():
     assert sum(n for ps in shapes for _, n in ps) == 600 + 424 + 128 + 1024 + 2053 + 700 + 300 + 30 + 512 + 90
 
 
+def test_short_tiers_are_packed_from_pieces():
+    """Pieces that no long window takes fill windows of their own tier; only the last window has room."""
+    r = random.Random(2)
+    for lengths in ((60, 500), (20, 120), (130, 250)):
+        p, out = packing.Packer(pool=4000), []
+        sizes = [r.randrange(*lengths) for _ in range(300)]
+        for i, n in enumerate(sizes):
+            out += p.add(i, b"\1\0\0\0" * n)
+        out += p.pack()
+        assert sum(x.length for _, ps in out for x in ps) == sum(sizes)
+        assert sum(sum(x.length for x in ps) != tier for tier, ps in out) <= 1
+        assert max(tier for tier, _ in out) == p.tier(max(sizes)) and sum(len(ps) > 1 for _, ps in out) > 20
+
+
+def test_steps_run_over_partitions(spark):
+    rows = [(i, "Some words in a short text. " * (1 + i % 40)) for i in range(600)]
+    seen = {(r.sequence_id, r.tier, r.step) for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), PATH, step=4096).collect()}
+    assert len({s for s, *_ in seen}) == len(seen) and len({s >> 32 for s, *_ in seen}) == 6
+    counts_ = defaultdict(lambda: defaultdict(int))
+    for _, tier, step in seen:
+        counts_[tier][step] += 1
+    assert len(counts_) > 1
+    for tier, steps in counts_.items():
+        assert sorted(steps) == list(range(min(steps), max(steps) + 1, len(packing.TIERS))) and min(steps) == packing.TIERS.index(tier)
+        assert all(n == 4096 // tier for step, n in steps.items() if step != max(steps))
+
+
 def test_op7(spark, docs):
     want = {r.doc_id: np.array([*ids_of(r.text), 0], "<u4").tobytes() for r in docs.collect()}
     seen = defaultdict(int)
