@@ -1,7 +1,7 @@
 """Line-first cleaning: every line is judged by itself, failing lines go, and a document that loses too much goes.
 
 Lines fail that
-  - carry no sentence mark at their end or before a space (headings, lists, fragments),
+  - carry no sentence mark of any script at their end or before a space (headings, lists, fragments),
   - are navigation (three or more separators, at least one to three words),
   - are littered with symbols (three or more, at least one to four words) or doubled exclamation marks
     (three or more, at least one to two words),
@@ -26,6 +26,15 @@ from pyspark.sql import functions as F
 LOST = 50
 WORD = r"[^\x20\x09-\x0D]+"
 SENTENCE = r"[.!?\x{2026}\x{3002}\x{FF01}\x{FF1F}][\"'\x{2019}\x{201D}\x{00BB})\]]*([\x20\x09-\x0D]|$)"
+# Unicode's Sentence_Terminal from U+0589 on; looked for only where the marks above are not found
+MARKS = ("589 61D-61F 6D4 700-702 7F9 837 839 83D-83E 964-965 104A-104B 1362 1367-1368 166E 1735-1736 17D4-17D5 1803 1809 1944-1945 "
+         "1AA8-1AAB 1B4E-1B4F 1B5A-1B5B 1B5E-1B5F 1B7D-1B7F 1C3B-1C3C 1C7E-1C7F 2024 203C-203D 2047-2049 2CF9-2CFB 2E2E 2E3C 2E53-2E54 "
+         "3002 A4FF A60E-A60F A6F3 A6F7 A876-A877 A8CE-A8CF A92F A9C8-A9C9 AA5D-AA5F AAF0-AAF1 ABEB FE12 FE15-FE16 FE52 FE56-FE57 FF01 "
+         "FF0E FF1F FF61 10A56-10A57 10F55-10F59 10F86-10F89 11047-11048 110BE-110C1 11141-11143 111C5-111C6 111CD 111DE-111DF "
+         "11238-11239 1123B-1123C 112A9 113D4-113D5 1144B-1144C 115C2-115C3 115C9-115D7 11641-11642 1173C-1173E 11944 11946 11A42-11A43 "
+         "11A9B-11A9C 11C41-11C42 11EF7-11EF8 11F43-11F44 16A6E-16A6F 16AF5 16B37-16B38 16B44 16D6E-16D6F 16E98 1BC9F 1DA88")
+OTHER_SENTENCE = (r"(?=[\x{0589}-\x{1DA88}])[" + "".join("-".join(rf"\x{{{c}}}" for c in x.split("-")) for x in MARKS.split())
+                  + r"][\"'\p{Pe}\p{Pf}\x{201C}\x{FF02}\x{FF07}]*([\x20\x09-\x0D]|$)")
 BOILERPLATE = ("(?i)(all rights reserved|copyright|terms of (use|service)|privacy policy|cookie (policy|settings)"
                "|accept (all )?cookies|enable javascript|subscribe to our|sign up|log ?in|click here|lorem ipsum)")
 SHORT = 200  # characters up to which a line can be boilerplate
@@ -39,7 +48,7 @@ def line_fails(line: Column) -> Column:
     """Whether a line that has a word fails one of the rules."""
     words = F.regexp_count(line, F.lit(WORD))
     bars, symbols, bangs = _count(line, r"|\x{00BB}\x{203A}\x{2022}"), _count(line, r"#*$%&<>{}\[\]=~\^"), F.regexp_count(line, F.lit("!!"))
-    return (~line.rlike(SENTENCE)
+    return (~(line.rlike(SENTENCE) | line.rlike(OTHER_SENTENCE))
             | ((bars >= 3) & (bars * 3 >= words))
             | ((symbols >= 3) & (symbols * 4 >= words))
             | ((bangs >= 3) & (bangs * 2 >= words))

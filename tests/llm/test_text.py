@@ -57,6 +57,18 @@ def test_lines_fail_one_by_one(spark):
     assert [x.id for x in quality.keep(spark.createDataFrame(rows_, "id long, text string")).orderBy("id").collect()] == [1, 3]
 
 
+def test_sentences_of_other_scripts(spark):
+    """Clean prose, and the same without its marks."""
+    marks = {"hi": ("\u0915\u0916", "\u0964"), "ur": ("\u06a9\u06af", "\u06d4"), "ar": ("\u0643\u0644", "\u061f"), "am": ("\u1200\u1208", "\u1362"),
+             "hy": ("\u0561\u0562", "\u0589"), "my": ("\u1000\u1001", "\u104b"), "km": ("\u1780\u1781", "\u17d4"), "syr": ("\u0710\u0712", "\u0700"),
+             "cakm": ("\U00011103\U00011104", "\U00011141"), "quoted": ("\u0915\u0916", "\u0964\u201d"), "bracket": ("\u65e5\u672c", "\u3002\u300d")}
+    prose = {k: "\n".join(" ".join(w * (1 + (7 * i + j * j) % 13) for j in range(14)) + end for i in range(6)) for k, (w, end) in marks.items()}
+    rows_ = [(k, t) for k, t in prose.items()] + [("no " + k, t.replace(marks[k][1], "")) for k, t in prose.items()]
+    got = {x.id: x for x in quality.clean(spark.createDataFrame(rows_, "id string, text string")).collect()}
+    assert not any(x.base_failed for x in got.values())
+    assert {k for k, x in got.items() if x.kept} == set(marks) and all(got[k].text == t for k, t in prose.items())
+
+
 def within_one(a, b):
     if abs(len(a) - len(b)) > 1:
         return False
