@@ -1,8 +1,8 @@
 """Languages of a document as a mixture.
 
 Learning: hashed n-grams of words are counted per language over a bounded sample of labelled rows, at most SAMPLE
-documents expected for each language, chosen by the hash of their text. The model is a table of BUCKETS rows and one
-column per language, so its size is fixed.
+documents expected for each language, chosen by the hash of their text; equal texts count once. The model is a table of BUCKETS rows and one
+column per language, however many there are; its size does not depend on the rows.
 
 Prediction: a word's likelihood under each language follows from its n-grams. Expectation-maximisation over the
 words estimates the document's language shares. The languages are then taken in order of their shares into a set
@@ -11,7 +11,7 @@ prediction is the language with the largest share in the chosen set; its share i
 
 Defined results: null text, or text without a letter: `und`, score 0, no shares; a table without labelled rows
 teaches no language and everything is `und`; ties go to the language that sorts first; repeated rows are judged
-alike; more than LANGUAGES labels are an error; existing columns of the outputs' names are replaced.
+alike; existing columns of the outputs' names are replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 SAMPLE = 4000        # labelled documents of a language to learn from
 BUCKETS = 1 << 16
-LANGUAGES = 128
 ORDERS = (2, 3, 4)
 SMOOTH = 0.2
 ROUNDS = 12          # of expectation-maximisation
@@ -163,14 +162,12 @@ def predictions(model: Model, texts) -> list[np.ndarray | None]:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """A model from the rows of docs that have a text and a language."""
     docs = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    per = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES + 1).collect()
-    if len(per) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    per = docs.groupBy("lang").count().collect()  # a row for each language
     if not per:
         return Model([], np.zeros((BUCKETS, 0), np.float32))
     fraction = F.create_map(*[x for r in per for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / r["count"])))])
     draw = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = docs.where(draw < fraction[F.col("lang")])
+    drawn = docs.where(draw < fraction[F.col("lang")]).dropDuplicates(["lang", "text"])  # copies are drawn together
 
     def counted(batches):
         words: dict[str, Counter] = {}
@@ -182,18 +179,27 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
             n = np.bincount(buckets, np.array(list(seen.values()))[of], BUCKETS).astype(np.int64)
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(at)), pa.array(at, pa.int32()), pa.array(n[at])], ["lang", "bucket", "n"])
-    # at most BUCKETS x LANGUAGES rows reach the driver
+    # at most BUCKETS rows of each language reach the driver
     table = drawn.mapInArrow(counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(r["lang"] for r in per)
-    n = np.zeros((BUCKETS, len(languages)))
-    place = {k: i for i, k in enumerate(languages)}
-    n[table["bucket"].to_numpy(), [place[k] for k in table["lang"].to_pylist()]] = table["n"].to_numpy()
-    return Model(languages, np.log((n + SMOOTH) / (n.sum(axis=0) + SMOOTH * BUCKETS)).astype(np.float32))
+    of = table["lang"].combine_chunks().dictionary_encode() if table.num_rows else pa.array([], pa.string()).dictionary_encode()
+    at, buckets, n = of.indices.to_numpy(), table["bucket"].to_numpy(), table["n"].to_numpy()
+    order = np.argsort(at, kind="stable")
+    starts = np.searchsorted(at[order], np.arange(len(of.dictionary) + 1))
+    place = {k: i for i, k in enumerate(of.dictionary.to_pylist())}
+    log_p = np.empty((BUCKETS, len(languages)), np.float32)
+    for i, k in enumerate(languages):  # one column in double precision at a time
+        column = np.zeros(BUCKETS)
+        if k in place:
+            rows = order[starts[place[k]]:starts[place[k] + 1]]
+            column[buckets[rows]] = n[rows]
+        log_p[:, i] = np.log((column + SMOOTH) / (column.sum() + SMOOTH * BUCKETS))
+    return Model(languages, log_p)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with lang_pred, score, and the shares of the chosen languages."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x LANGUAGES floats at most
+    held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats a language
     share = pa.struct([("lang", pa.string()), ("share", pa.float64())])
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("shares", pa.list_(share))])
 

@@ -211,6 +211,16 @@ def test_language_held_out_accuracy(spark):
     assert len(got) > 100 and sum(r.lang == r.lang_pred for r in got) >= 0.98 * len(got) and all(0 <= r.score <= 1 for r in got)
 
 
+def test_many_languages_and_copies(spark):
+    r = random.Random(7)
+    own = {f"l{i}": ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(8)] for i in range(150)}
+    rows_ = [(k, " ".join(w)) for k, w in own.items()]
+    model = langid.learn(spark.createDataFrame(rows_ * 2 + rows_[:1] * 50, "lang string, text string"))
+    assert model.languages == sorted(own) and (model.log_p == langid.learn(spark.createDataFrame(rows_, "lang string, text string")).log_p).all()
+    got = langid.identify(spark.createDataFrame(rows_, "lang string, text string"), model).collect()
+    assert all(x.lang == x.lang_pred for x in got)
+
+
 def test_mixture_shares(spark, docs, odd, none):
     model = langid.learn(docs)
     by = {r.lang: r.t for r in docs.where("n_chars > 800").groupBy("lang").agg(F.max("text").alias("t")).collect()}
