@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, counts, langid, lines, neardup, neighbours, packing, pii, quality, urls
+from . import bpe, counts, langid, lines, neardup, neighbours, packing, pii, quality, repair, urls
 from .ship import ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -105,3 +105,8 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "class_id", "kept")
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))

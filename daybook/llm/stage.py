@@ -1,16 +1,22 @@
-"""Intermediate tables on the folder that all executors share."""
+"""Intermediate tables in the folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
+from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from daybook.sources.workspace import Workspace
+
+
+@lru_cache(maxsize=None)
+def _workspace(application: str, spark: SparkSession) -> Workspace:
+    return Workspace(spark, "llm")
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """df, computed once and kept by checkpoint() in the folder spark.checkpoint.dir names; where none is set, as in
-    tests, in a folder of this session's own."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="daybook-"))
-    return df.checkpoint()
+    """df, computed once, written as Parquet below spark.checkpoint.dir and read back. The tables of an application are
+    deleted when its driver ends; a cluster without that setting is refused, a local session gets a folder of its own."""
+    spark = df.sparkSession
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # files know no two names that differ in case only
+    return _workspace(spark.sparkContext.applicationId, spark).stage(plain, "stage").toDF(*df.columns)
