@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, counts, langid, lines, neardup, neighbours, packing, pii, quality, repair, urls
+from . import bpe, counts, langid, lines, neardup, neighbours, packing, passages, pii, quality, repair, urls
 from .ship import ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -110,3 +110,12 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = passages.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+CHECKS["op12_substring_dedup"] = passages.CHECK_SQL

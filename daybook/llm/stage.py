@@ -20,3 +20,12 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # files know no two names that differ in case only
     return _workspace(spark.sparkContext.applicationId, spark).stage(plain, "stage").toDF(*df.columns)
+
+
+def repeatable(df: DataFrame) -> DataFrame:
+    """df if it is read from files and only projected and filtered, so that its rows come alike whenever it is computed
+    again; else df staged."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().apply(0)
+    return df if plan.nodeName().startswith(("Relation", "LogicalRelation")) else staged(df)
