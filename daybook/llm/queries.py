@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, counts, langid, lines, neardup, neighbours, packing, passages, pii, quality, repair, urls
+from . import bpe, counts, langid, lines, neardup, neighbours, packing, passages, pii, quality, repair, trie, urls
 from .ship import ship
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -119,3 +119,11 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHECKS["op12_substring_dedup"] = passages.CHECK_SQL
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(*trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+CHECKS["op11_prefix_trie"], CHECKS["op13_structure_repair"] = trie.CHECK_SQL, repair.CHECK_SQL

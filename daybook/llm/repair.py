@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from .stage import staged
+from .trie import CRC_SQL
 from .turns import BLANKS, damaged, ordered, part_of
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 3, 4, 3, 3
@@ -328,3 +329,36 @@ def report(conversations: DataFrame, conv: str = "conv_id", **names: str) -> Dat
     zero = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return every.select(F.col("conv").alias(conv), *zero, F.coalesce("audit", F.lit("")).alias("audit"),
                         F.coalesce("sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("repaired_sha256"))
+
+
+#: op13 over the table conversations: costs, audits and repaired turns of every state, turn by turn.
+CHECK_SQL = f"""
+WITH RECURSIVE given AS (SELECT conv_id AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+       {CRC_SQL.format("coalesce(CAST(conv_id AS varchar), ' ') || ':' || coalesce(CAST(turn AS varchar), ' ')")} % 20 AS fault FROM conversations),
+made AS (SELECT c, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+       unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy FROM given WHERE fault > 0),
+x AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM made),
+seen AS (SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again,
+       right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') AS open,
+       left(role, 1) AS f, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS e FROM x),
+turns AS (SELECT *, again AND NOT blank AS duplicate, open AND NOT again AND NOT blank AS truncated FROM seen),
+counts AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(CAST(blank AS int)) AS blank, sum(CAST(duplicate AS int)) AS duplicate,
+       sum(CAST(truncated AS int)) AS truncated, sum(CASE WHEN i > 1 AND e || f NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END) AS illegal FROM turns GROUP BY c),
+ins(b, s, cost, audit, rows) AS (VALUES (0, 0, 0, '', CAST([] AS varchar[])), (0, 2, 3, 'I', ['user:']), (0, 3, 6, 'II', ['user:', 'assistant:']),
+       (1, 1, 0, '', []), (1, 2, 3, 'I', ['user:']), (1, 3, 6, 'II', ['user:', 'assistant:']), (2, 2, 0, '', []), (2, 3, 3, 'I', ['assistant:']),
+       (3, 3, 0, '', []), (3, 2, 3, 'I', ['user:']), (3, 3, 6, 'II', ['user:', 'assistant:'])),
+edit(b, s, k, f, cost) AS (VALUES (0, 0, 'D', '', 4), (1, 1, 'D', '', 4), (2, 2, 'D', '', 4), (3, 3, 'D', '', 4), (0, 2, 'R', '', 3), (1, 2, 'R', '', 3), (2, 3, 'R', '', 3),
+       (3, 2, 'R', '', 3), (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (3, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0)),
+way AS (SELECT c, 0 AS i, 0 AS s, {{'cost': 0, 'audit': '', 'rows': CAST([] AS varchar[])}} AS w FROM counts
+  UNION ALL
+  SELECT way.c, way.i + 1, edit.s, min({{'cost': w.cost + ins.cost + edit.cost + CASE WHEN truncated AND k <> 'D' THEN 3 ELSE 0 END, 'audit': w.audit || ins.audit || k,
+         'rows': w.rows || ins.rows || CASE k WHEN 'D' THEN CAST([] AS varchar[]) WHEN 'K' THEN [role || ':' || text] ELSE [CASE edit.s WHEN 3 THEN 'assistant:' ELSE 'user:' END || text] END}})
+  FROM way JOIN ins ON ins.b = way.s JOIN turns ON turns.c IS NOT DISTINCT FROM way.c AND turns.i = way.i + 1
+       JOIN edit ON edit.b = ins.s AND (k = 'D' OR NOT (blank OR duplicate) AND (k = 'R' OR edit.f = turns.f)) GROUP BY way.c, way.i, edit.s),
+best AS (SELECT way.c, min({{'cost': w.cost + ins.cost, 'audit': w.audit || ins.audit, 'rows': w.rows || ins.rows}}) AS w
+       FROM way JOIN counts ON counts.c IS NOT DISTINCT FROM way.c AND i = n JOIN ins ON ins.b = way.s AND ins.s IN (0, 3) GROUP BY way.c)
+SELECT g.c AS conv_id, CAST(coalesce(gaps, 0) AS bigint) AS gaps, CAST(coalesce(blank, 0) AS bigint) AS blank, CAST(coalesce(duplicate, 0) AS bigint) AS duplicate,
+       CAST(coalesce(truncated, 0) AS bigint) AS truncated, CAST(coalesce(illegal, 0) AS bigint) AS illegal, CAST(coalesce(w.cost, 0) AS bigint) AS cost,
+       coalesce(w.audit, '') AS audit, sha256(coalesce(array_to_string(w.rows, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT c FROM given) g LEFT JOIN counts ON counts.c IS NOT DISTINCT FROM g.c LEFT JOIN best ON best.c IS NOT DISTINCT FROM g.c
+"""

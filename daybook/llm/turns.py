@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .stage import staged
@@ -11,12 +11,23 @@ TIE = 64                     # characters of a text that order turns of one numb
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def ordered(rows: DataFrame) -> DataFrame:
+def ordered(rows: DataFrame, *keep: str) -> DataFrame:
     """rows (conv, turn, role, text, ...) staged with `seq`, ascending in (conv, turn); null turns first; rows of one turn
-    by role, the text's first TIE characters, its hash. A task's rows share the upper bits of `seq`: part_of()."""
-    order = [F.col("conv"), F.col("turn"), F.col("role"), F.substring("text", 1, TIE), F.xxhash64("text"), F.col("_t_row")]
-    dealt = rows.withColumn("_t_row", F.monotonically_increasing_id()).repartitionByRange(*order)  # equal rows can be parted
-    return staged(dealt.sortWithinPartitions(*order).drop("_t_row").withColumn("seq", F.monotonically_increasing_id()))
+    by role, the text's first TIE characters, its hash. A task's rows share the upper bits of `seq`: part_of(). keep: the
+    columns that go on (all, if none is named)."""
+    keys = {"_t_role": F.col("role"), "_t_head": F.substring("text", 1, TIE), "_t_hash": F.xxhash64("text"), "_t_row": F.monotonically_increasing_id()}
+    order = ["conv", "turn", *keys]  # the last key parts equal rows
+    dealt = rows.withColumns(keys).select(*dict.fromkeys([*(keep or rows.columns), *order])).repartitionByRange(*order)
+    return staged(dealt.sortWithinPartitions(*order).select(*(keep or rows.columns), F.monotonically_increasing_id().alias("seq")))
+
+
+def positions(rows: DataFrame) -> DataFrame:
+    """ordered rows (conv, seq, ...) with `pos`, the row's number in its conversation from 1, and `n`, the conversation's rows."""
+    held = rows.groupBy("conv", part_of(F.col("seq")).alias("_t_part")).agg(F.min("seq").alias("_t_first"), F.count("*").alias("_t_n"))
+    own = Window.partitionBy("conv")  # as many rows as tasks share the conversation
+    held = held.withColumns({"n": F.sum("_t_n").over(own), "_t_before": F.sum("_t_n").over(own.orderBy("_t_part")) - F.col("_t_n")})
+    numbered = rows.withColumn("_t_part", part_of(F.col("seq"))).join(held, ["conv", "_t_part"])
+    return numbered.withColumn("pos", F.col("seq") - F.col("_t_first") + F.col("_t_before") + 1).drop("_t_part", "_t_first", "_t_n", "_t_before")
 
 
 def part_of(seq: Column) -> Column:
@@ -24,11 +35,6 @@ def part_of(seq: Column) -> Column:
     return F.shiftright(seq, 33)
 
 
-def row_of(seq: Column) -> Column:
-    """The row's number in its task, from 0."""
-    return seq.bitwiseAND(F.lit((1 << 33) - 1))
-
-
 def crc(text: Column) -> Column:
     """The unsigned CRC-32 of a string."""
     return F.crc32(text.cast("binary"))
