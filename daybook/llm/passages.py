@@ -252,10 +252,11 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             left = every if stay is None else list(compress(every, stay.tolist()))
             out.append({"n_words": len(every), "n_removed": len(every) - len(left), "kept": b" ".join(left).decode()})
         return pa.array(out, kind)
-    done = texts.join(verdicts, texts["_p_row"] == verdicts["row"], "left").select("_p_row", judged("_p_text", "cells", "owned").alias("_p_done"))
+    # the function comes last: what it returns is not shuffled again
     rest = base.drop("_p_text", "n_words", "n_removed", "kept")
-    joined = rest.join(done.withColumnRenamed("_p_row", "_p_of"), F.col("_p_row") == F.col("_p_of"))
-    return joined.select(*[F.col(f"`{c}`") for c in rest.columns if not c.startswith("_p_")], "_p_done.*")
+    done = texts.join(verdicts, texts["_p_row"] == verdicts["row"], "left").select(F.col("_p_row").alias("_p_of"), "_p_text", F.col("cells").alias("_p_cells"), F.col("owned").alias("_p_owned"))
+    done = done.join(rest, F.col("_p_row") == F.col("_p_of")).withColumn("_p_done", judged("_p_text", "_p_cells", "_p_owned"))
+    return done.select(*[F.col(f"`{c}`") for c in rest.columns if not c.startswith("_p_")], "_p_done.*")
 
 
 #: op12 over the table documents, window by window.
