@@ -105,6 +105,34 @@ def classes(rows):
     return {t: min((i for i in ids[root(k)] if i is not None), default=None) for k, t in enumerate(texts)}
 
 
+def test_large_keys_keep_every_link(spark):
+    """Groups (more than a block) around cores, far from them, and rearranged: linked texts of different components meet
+    in a new key, and near copies that link nothing make few keys."""
+    r = random.Random(8)
+    core = [f"c{i}" for i in range(80)]
+
+    def edited(words, n):
+        words = list(words)
+        for _ in range(n):
+            words[r.randrange(len(words))] = f"x{r.randrange(10 ** 9)}"
+        return words
+    other = edited(core, 4)
+    texts = [edited(core, 3) for _ in range(60)] + [edited(other, r.randrange(3)) for _ in range(25)] + [core[40:] + core[:40], edited(core[40:] + core[:40], 1)]
+    lone = [f"f{i}" for i in range(90)]
+    texts += [core[:25] + edited(lone, r.choice([1, 90])) for _ in range(20)]
+    seqs = [neardup.shingles(" ".join(t)) for t in texts]
+    rows = [(n, n, 0) for n in range(len(texts))]
+    members = spark.createDataFrame(rows, "node long, component long, hub long")
+    got = neardup.token_groups(members, spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "node long, text string"), 0.8).collect()
+    keys = {}
+    for x in got:
+        keys.setdefault(x.node, set()).add(x.key)
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if neardup.similarity(seqs[i], seqs[j]) >= 0.8]
+    assert len(linked) > 100 and all(keys.get(i, set()) & keys.get(j, set()) for i, j in linked)
+    lonely = [i for i in range(60) if not any(i in x for x in linked)]
+    assert len(lonely) > 10 and sum(len(keys.get(i, ())) for i in lonely) < 3 * len(lonely)
+
+
 @pytest.mark.parametrize("block", [neardup.BLOCK, 4])
 def test_near_duplicates_are_brute_force(spark, odd, block, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", block)
