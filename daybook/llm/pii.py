@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+LONG = 128                   # characters of a value that are read as one integer
 DAY0, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 TRIGGER = re.compile(r"[0-9@]|(?i:passw|pwd|token|secret|api.?key)")
 FIND = re.compile(r"""
-    (?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b)
+    (?<![\w.+%-])(?:(?:[._+-][A-Za-z0-9._+-]*+)?%)*+(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b)
   | (?P<named>(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key))["']?\s*[=:]\s*["']?(?P<secret>[^\s"',;]{6,}))
   | (?P<access>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)
   | (?P<iban>\b[A-Z]{2}[0-9]{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?\b)
@@ -69,7 +70,21 @@ class Permuter:
                 return value
 
     def letters(self, kind: str, text: str, valid: Callable[[str], bool] = lambda t: True, known=(DIGITS, LOWER, UPPER)) -> str:
-        """Digits, small and large letters stay what they are and where they are; other characters stay as they are."""
+        """Digits, small and large letters stay what they are and where they are; other characters stay as they are. Of more
+        than LONG characters, blocks are moved one after the other, each by a permutation that the blocks before it choose,
+        from the left and then from the right."""
+        if len(text) <= LONG:
+            return self._letters(kind, text, valid, known)
+        blocks = [text[at:at + LONG] for at in range(0, len(text), LONG)]
+        for way in ("right", "left"):
+            chain, out = hashlib.blake2b(f"{way} {len(text)}".encode(), key=self.key, digest_size=16), []
+            for block in blocks if way == "right" else reversed(blocks):
+                out.append(self._letters(f"{kind} {chain.hexdigest()}", block, lambda t: True, known))
+                chain.update(out[-1].encode())
+            blocks = out if way == "right" else out[::-1]
+        return "".join(blocks)
+
+    def _letters(self, kind: str, text: str, valid: Callable[[str], bool], known) -> str:
         sets = [next((s for s in known if c in s), None) for c in text]
         value, n = 0, 1
         for c, s in zip(text, sets):
@@ -142,15 +157,31 @@ def passes(text: str) -> bool:
 def card_ends(text: str) -> Iterator[int]:
     """The ends at which a card may stop in a match: usual groups first, then the whole, then what else passes. None
     where a card in usual groups begins later in the match, or one that begins later ends with it."""
-    cuts = [m.start() for m in re.finditer("[ -]", text)]
-    short = [e for e in reversed(cuts) if passes(text[:e])]
+    places = [i for i, c in enumerate(text) if c.isdigit()]
+    # sums of the check digits, with every second digit doubled: from the even places and from the odd ones
+    sums = ([0], [0])
+    for i, at in enumerate(places):
+        d = int(text[at])
+        twice = 2 * d - 9 * (d > 4)
+        sums[0].append(sums[0][-1] + (d if i % 2 else twice))
+        sums[1].append(sums[1][-1] + (twice if i % 2 else d))
+    last = [i for i, at in enumerate(places) if i + 1 == len(places) or places[i + 1] > at + 1]  # digits before a separator or the end
+
+    def passing(first: int) -> list[int]:
+        """Ends of what passes from that digit on."""
+        return [places[j] + 1 for j in last if 12 <= j - first <= 18 and not (sums[1 - j % 2][j + 1] - sums[1 - j % 2][first]) % 10
+                and passes(text[places[first]:places[j] + 1])]
+    whole = len(text)
+    found = passing(0)
+    short = [e for e in reversed(found) if e < whole]
     if usual(text):
-        yield len(text)
+        yield whole
     yield from (e for e in short if usual(text[:e]))
-    later = [(text[a + 1:e], e) for a in cuts if text[a] == " " for e in (*cuts, len(text)) if e > a and passes(text[a + 1:e])]
+    later = [(text[places[i + 1]:e], e) for i in last[:-1] if text[places[i] + 1] == " " for e in passing(i + 1)]
     if not any(usual(t) for t, _ in later):
-        yield len(text)
-        if not any(e == len(text) for _, e in later):
+        if whole in found:
+            yield whole
+        if not any(e == whole for _, e in later):
             yield from short
 
 

@@ -316,3 +316,23 @@ def test_mined_rules_are_brute_force(spark):
     for i, u in pages:
         assert got[i].confidence == pytest.approx(want[u]) if want[u] else got[i].confidence is None
         assert got[i].verdict == ("block" if want[u] else "allow")
+
+
+def test_long_values_and_runs_are_moved_in_time():
+    """Secrets and mailboxes of any length, percent escapes and spaced digits: formats are kept, different values stay
+    different, and time grows with the length only."""
+    import time
+    p = pii.Permuter(b"k")
+    for n in (10, 127, 128, 129, 4000, 20_000):
+        texts = [f"token={'a' * (n - 1)}{x}" for x in "abz"] + [f"token={x}{'a' * (n - 1)}" for x in "bz"]
+        moved = [pii.pseudonymised(p, t)[0] for t in texts]
+        assert len(set(moved)) == 5 and all(len(m) == len(t) and m != t for m, t in zip(moved, texts))
+        assert moved == [pii.pseudonymised(p, t)[0] for t in texts]
+        new, spans = pii.pseudonymised(p, f"<{'m.x' * n}@example.org>")
+        assert spans == [("email", 1, 3 * n + 12)] and re.fullmatch(r"<([a-z]\.[a-z]){%d}@[a-z]{7}\.org>" % n, new)
+    start = time.time()
+    assert pii.pseudonymised(p, "%E3%81" * 50_000)[1] == []
+    assert len(pii.pseudonymised(p, "api_key: " + "Ab9_" * 50_000)[1]) == 1
+    assert pii.pseudonymised(p, "1 2 " * 10_000)[0]
+    assert time.time() - start < 20
+    assert pii.pseudonymised(p, "at %20john@x.com")[1] == [("email", 4, 12)]
