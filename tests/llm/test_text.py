@@ -336,3 +336,18 @@ def test_long_values_and_runs_are_moved_in_time():
     assert pii.pseudonymised(p, "1 2 " * 10_000)[0]
     assert time.time() - start < 20
     assert pii.pseudonymised(p, "at %20john@x.com")[1] == [("email", 4, 12)]
+
+
+def test_many_query_keys_are_mined_in_time(spark):
+    """30 keys that stand together are one class; keys that are left out at random stay within the width."""
+    import time
+    r = random.Random(1)
+    keys = [f"k{i}=1" for i in range(30)]
+    for left_out in (0, 1):
+        rows_ = [(i, f"http://bad.example/p?{'&'.join(k for k in keys if r.random() > left_out / 30)}", 1) for i in range(60)]
+        rows_ += [(i, f"http://good.example/p?{'&'.join(k for k in keys if r.random() > left_out / 30)}", 0) for i in range(60, 120)]
+        pages = spark.createDataFrame(rows_, "page_id long, url string, x int")
+        start = time.time()
+        got = {x.page_id: x.verdict for x in urls.judge(pages, pages.select(F.col("page_id").alias("id"), (F.col("x") == 1).alias("bad")), {}).collect()}
+        assert got == {i: "block" if bad else "allow" for i, _, bad in rows_}
+        assert time.time() - start < 90
