@@ -60,9 +60,9 @@ def matches(postings: DataFrame, block: int = BLOCK) -> DataFrame:
     start = (F.col("block") * F.col("width")).cast(TOTAL)
     line = ends.groupBy(*KEY, "block", "to").agg(F.min(start).alias("start"), F.max(of("buy")).alias("buy"), F.max(of("sell")).alias("sell"))  # one of a side ends at a place
     w = Window.partitionBy(*KEY, "block").orderBy("to")
-    onwards = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    back = Window.partitionBy(*KEY, "block").orderBy(F.desc("to")).rowsBetween(Window.unboundedPreceding, 0)  # the other way would look at all rows to come for each
     line = line.select(*KEY, (F.col("to") - F.coalesce(F.lag("to").over(w), F.col("start"))).cast(TOTAL).alias("quantity"),
-                       F.first("buy", True).over(onwards).alias("buy"), F.first("sell", True).over(onwards).alias("sell"))
+                       F.last("buy", True).over(back).alias("buy"), F.last("sell", True).over(back).alias("sell"))
     return line.where("buy IS NOT NULL AND sell IS NOT NULL AND quantity > 0").select(
         *KEY, F.col("buy.external_id").alias("buy_id"), F.col("buy.posting_idx").alias("buy_idx"), F.col("sell.external_id").alias("sell_id"),
         F.col("sell.posting_idx").alias("sell_idx"), F.col("sell.date").alias("sell_date"), "quantity", F.col("buy.price").alias("cost"), F.col("sell.price").alias("price")

@@ -34,7 +34,8 @@ def account_intervals(life: DataFrame) -> DataFrame:
     ends = (F.col("closes") > 0) & (F.col("begins") | (F.col("state") == "open"))
     marks = days.withColumn("ends", F.coalesce(ends, F.lit(False))).where("begins OR ends")
     closing = F.when(F.col("ends"), F.col("date"))
-    marks = marks.withColumn("close_date", F.when(F.col("ends"), F.col("date")).otherwise(F.first(closing, True).over(w.rowsBetween(1, Window.unboundedFollowing))))
+    later = Window.partitionBy("account").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
+    marks = marks.withColumn("close_date", F.when(F.col("ends"), F.col("date")).otherwise(F.last(closing, True).over(later)))
     return marks.where("begins").select("account", F.row_number().over(w).cast("bigint").alias("n"), F.col("date").alias("open_date"), "close_date")
 
 
