@@ -33,8 +33,9 @@ MARKS = ("589 61D-61F 6D4 700-702 7F9 837 839 83D-83E 964-965 104A-104B 1362 136
          "FF0E FF1F FF61 10A56-10A57 10F55-10F59 10F86-10F89 11047-11048 110BE-110C1 11141-11143 111C5-111C6 111CD 111DE-111DF "
          "11238-11239 1123B-1123C 112A9 113D4-113D5 1144B-1144C 115C2-115C3 115C9-115D7 11641-11642 1173C-1173E 11944 11946 11A42-11A43 "
          "11A9B-11A9C 11C41-11C42 11EF7-11EF8 11F43-11F44 16A6E-16A6F 16AF5 16B37-16B38 16B44 16D6E-16D6F 16E98 1BC9F 1DA88")
-OTHER_SENTENCE = (r"(?=[\x{0589}-\x{1DA88}])[" + "".join("-".join(rf"\x{{{c}}}" for c in x.split("-")) for x in MARKS.split())
-                  + r"][\"'\p{Pe}\p{Pf}\x{201C}\x{FF02}\x{FF07}]*([\x20\x09-\x0D]|$)")
+OTHER_MARK = "[" + "".join("-".join(rf"\x{{{c}}}" for c in x.split("-")) for x in MARKS.split()) + "]"
+CLOSING = r"\p{Pe}\p{Pf}\x{201C}\x{FF02}\x{FF07}"
+OTHER_SENTENCE = rf"(?=[\x{{0589}}-\x{{1DA88}}]){OTHER_MARK}[\"'{CLOSING}]*([\x20\x09-\x0D]|$)"
 BOILERPLATE = ("(?i)(all rights reserved|copyright|terms of (use|service)|privacy policy|cookie (policy|settings)"
                "|accept (all )?cookies|enable javascript|subscribe to our|sign up|log ?in|click here|lorem ipsum)")
 SHORT = 200  # characters up to which a line can be boilerplate
@@ -98,6 +99,7 @@ def keep(docs: DataFrame, text: str = "text") -> DataFrame:
     return judged.select("*", F.explode(F.when(F.col("kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))).alias("_q_kept")).drop("_q_kept")
 
 
+END = r"([\x20\x09-\x0D]|[\x{85}\x{2028}\x{2029}]?$)"     # what Java's $ means
 CHECK_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 a AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -112,7 +114,8 @@ j AS (SELECT r, unnest(ls) AS x FROM win),
 f AS (SELECT r, x, length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g')) AS c, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS nw,
              length(regexp_replace(x, '[^|\x{{BB}}\x{{203A}}\x{{2022}}]+', '', 'g')) AS bars,
              length(regexp_replace(x, '[^#*$%&<>{{}}\[\]=~\^]+', '', 'g')) AS symbols, len(regexp_extract_all(x, '!!')) AS bangs FROM j),
-s AS (SELECT r, sum(CASE WHEN NOT regexp_matches(x, '[.!?\x{{2026}}\x{{3002}}\x{{FF01}}\x{{FF1F}}]["''\x{{2019}}\x{{201D}}\x{{BB}})\]]*([\x20\x09-\x0D]|$)')
+s AS (SELECT r, sum(CASE WHEN NOT (regexp_matches(x, '[.!?\x{{2026}}\x{{3002}}\x{{FF01}}\x{{FF1F}}]["''\x{{2019}}\x{{201D}}\x{{BB}})\]]*{END}')
+                               OR regexp_matches(x, '{OTHER_MARK}["''{CLOSING}]*{END}'))
              OR bars >= 3 AND bars * 3 >= nw OR symbols >= 3 AND symbols * 4 >= nw OR bangs >= 3 AND bangs * 2 >= nw
              OR length(x) <= {SHORT} AND regexp_matches(x, '{BOILERPLATE}') THEN c ELSE 0 END) AS lost FROM f GROUP BY r),
 z AS (SELECT doc_id, n AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,

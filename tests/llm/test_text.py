@@ -23,6 +23,21 @@ def test_quality_equals_sql(spark):
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows([c[0] for c in res.description], res.fetchall())
 
 
+def test_quality_equals_sql_in_every_script(spark):
+    """Lines that end in each sentence mark, in marks of other kinds, and with quotes, brackets and odd spaces after them."""
+    marks = [chr(c) for x in quality.MARKS.split() for c in range(int(x.split("-")[0], 16), int(x.split("-")[-1], 16) + 1)]
+    ends = [*marks, *".!?…。", *",;:、·՚፡᠂⸲", "।»", "။”)", "۔」", "؟ ", "።\u2028", "\uFF0E\u0085", "。\u2029x", "។\r", "᙮\u00a0", "", "\U0001F600"]
+    texts = ["\n".join(" ".join(f"ẃ{k}{i}{j}" for j in range(12)) + end for i in range(6)) for k, end in enumerate(ends)]
+    df = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    got = quality.clean(df).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    res = con.execute(CHECKS["op8_quality"])
+    assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows([c[0] for c in res.description], res.fetchall())
+    kept = {x.doc_id for x in got.where("kept").collect()}
+    assert kept >= set(range(len(marks) + 5)) and len(kept) < len(ends) - 8
+
+
 def repeated(words):
     """Words in three-word windows found twice or more."""
     windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
