@@ -10,14 +10,14 @@ Packing runs inside the partitions of the input: no row is shuffled, a task hold
 (POOL tokens). Padding is at most one window per partition. Sequence ids carry the partition's number in their upper bits.
 
 Sequences of one tier are dealt to steps of equal token counts over all partitions: the packed rows are staged, and the
-partitions' counts of sequences (a row for each partition and tier) say where each goes on. Only a tier's last step can
-hold less.
+partitions' counts of sequences (a row for each partition and tier) are summed up by a window, staged, and joined: Spark
+broadcasts them if their files are small. Only a tier's last step can hold less.
 
 Output, one row per piece: id, start (ids of the document before it), length, ids (binary, little-endian unsigned
 32-bit), doc_tokens (with `end`), sequence_id, offset, tier, step.
 
-Defined results: null and empty texts are documents of the one id `end`; null ids are kept; repeated rows are
-documents of their own; other columns are not carried; no rows give no rows.
+Defined results: null and empty texts are documents of the one id `end`; ids keep their type, null ids are kept;
+repeated rows are documents of their own; other columns are not carried; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .bpe import CACHED_LENGTH, pieces_of
 from .stage import staged
@@ -119,7 +120,7 @@ def encoder(path: str) -> Encoder:
 
 
 class Piece(NamedTuple):
-    doc: int | None
+    doc: object
     start: int
     ids: bytes
     doc_tokens: int
@@ -245,20 +246,19 @@ def pack(docs: DataFrame, path: str, end: int = 0, text: str = "text", key: str
     """Pieces of the documents' ids in sequences; see above."""
     if any(t <= 0 or t & (t - 1) for t in tiers):
         raise ValueError("tiers must be powers of two")
-    kind = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
+    narrow = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    id_type = narrow.schema["doc_id"].dataType
+    kind = pa.schema([("doc_id", to_arrow_type(id_type)), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                       ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()),
                       ("at", pa.int64())])
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     tiers = tuple(sorted(tiers))
     packed = staged(narrow.mapInArrow(lambda batches: _rows(batches, path, end, tiers, pool, kind),
-                                      "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
+                                      f"doc_id {id_type.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, "
                                       "offset long, tier int, at long"))  # at: number of the sequence in its partition and tier
     part = F.shiftright("sequence_id", 32)
-    before, begins = dict.fromkeys(tiers, 0), []
-    for r in packed.groupBy(part.alias("part"), "tier").agg(F.max("at").alias("last")).orderBy("part").collect():
-        begins.append((r["part"], r["tier"], before[r["tier"]]))
-        before[r["tier"]] += r["last"] + 1
-    first = docs.sparkSession.createDataFrame(begins, "_p_part long, _p_tier int, _p_first long")
+    before = F.sum("n").over(Window.partitionBy("_p_tier").orderBy("_p_part").rowsBetween(Window.unboundedPreceding, -1))
+    first = staged(packed.groupBy(part.alias("_p_part"), F.col("tier").alias("_p_tier")).agg((F.max("at") + 1).alias("n"))
+                   .select("_p_part", "_p_tier", F.coalesce(before, F.lit(0)).alias("_p_first")))
     number = F.floor((F.col("_p_first") + F.col("at")) * F.col("tier") / step) * len(tiers) + F.array_position(F.array(*map(F.lit, tiers)), F.col("tier")) - 1
-    return packed.join(F.broadcast(first), (part == F.col("_p_part")) & (F.col("tier") == F.col("_p_tier"))).withColumn(
+    return packed.join(first, (part == F.col("_p_part")) & (F.col("tier") == F.col("_p_tier"))).withColumn(
         "step", number.cast("long")).drop("at", "_p_part", "_p_tier", "_p_first")

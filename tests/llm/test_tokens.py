@@ -138,6 +138,19 @@ def test_packing(spark, odd, none, docs):
         packing.pack(docs, PATH, tiers=(100, 1024))
 
 
+def test_packing_of_text_ids_over_partitions(spark, docs):
+    """Ids of any type; steps go on over partitions, so only a tier's last step holds less."""
+    named = docs.selectExpr("concat('d', doc_id) AS doc_id", "text").repartition(5, "doc_id")
+    packed = packing.pack(named, PATH, step=4096).collect()
+    sequences = check_packing(packed, [("d%s" % r.doc_id, r.text) for r in docs.collect()], last=5)
+    steps = defaultdict(int)
+    for ps in sequences.values():
+        steps[ps[0].tier, ps[0].step] += ps[0].tier
+    for tier in packing.TIERS:
+        own = [n for (t, _), n in sorted(steps.items()) if t == tier]
+        assert own[:-1] == [4096] * len(own[:-1]) and max(own[-1:], default=0) <= 4096
+
+
 def test_encoder_that_forgets(monkeypatch):
     """Any number of remembered pieces gives the same ids."""
     texts = random_texts(600)
