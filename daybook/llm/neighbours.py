@@ -9,14 +9,15 @@ leaves. A query goes on until the visited leaves hold enough vectors for its res
 Inner products become distances by one further component that brings every vector to the largest norm.
 
 Work is dealt in cells: leaves in a row of about CELL vectors together, and large leaves in several cells, by
-counts, so a leaf of equal vectors is spread. Vectors and queries of a cell meet in groups of bounded size; equal
-vectors of a leaf are scored once, and at most PAIRS scores are held before they are cut to the best. Results
-are scored on the original vectors in double precision, component by component.
+counts, so a leaf of equal vectors is spread. Queries of a cell are dealt to groups of about GROUP, and a cell's vectors are
+sent once to each of its groups: none where no query asks. Equal vectors of a leaf are scored once, and at most PAIRS
+scores are held before they are cut to the best. Results are scored on the original vectors in double precision,
+component by component.
 
 Only the tree, the leaf counts (LEAVES at most) and the calibration's results reach the driver.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
-those whose length is not the most frequent one, nor null ids; of rows that repeat an id the smallest vector counts;
+those whose length is not the most frequent one, nor null ids; ids that are no integers are refused; of rows that repeat an id the smallest vector counts;
 equal scores go to the smaller id; fewer candidates than asked for are all returned; no vectors, no rows.
 """
 
@@ -30,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .stage import staged
 
@@ -231,6 +233,8 @@ def matrix(column) -> np.ndarray:
 
 def vectors(table: DataFrame, key: str, vec: str) -> tuple[DataFrame, int, float, int]:
     """The vectors that take part (vec_id, v), how many, their largest norm and length."""
+    if not isinstance(table.select(key).schema[0].dataType, IntegralType):
+        raise TypeError(f"{key} must be an integer")
     some = table.select(F.col(key).cast("long").alias("vec_id"), F.col(vec).cast("array<double>").alias("v")).where("vec_id IS NOT NULL").where(usable(F.col("v")))
     common = some.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     if not common:
@@ -330,10 +334,8 @@ def search(table: DataFrame, queries: Column, k: int = 20, key: str = "vec_id",
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     leaves, tree, counts = made
     asked = leaves.where(queries).select("vec_id", "v")
-    n_queries = asked.count()
-    visits = calibrate(leaves, tree, counts, asked, n_queries, k)
+    visits = calibrate(leaves, tree, counts, asked, asked.count(), k)
     first, parts = cells_of(counts)
-    groups = max(1, -(-n_queries // GROUP))
     held = table.sparkSession.sparkContext.broadcast((tree, counts, first, parts))
 
     def vector_cells(batches):
@@ -359,10 +361,11 @@ def search(table: DataFrame, queries: Column, k: int = 20, key: str = "vec_id",
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["cell", "query_id", "v", "leaves"])
 
+    wanted = staged(asked.mapInArrow(query_cells, "cell long, query_id long, v array<double>, leaves array<int>"))
+    asks = staged(wanted.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups")))
+    wanted = wanted.join(asks, "cell").withColumn("part", F.pmod(F.xxhash64("query_id"), "groups").cast("int")).drop("groups")
     there = leaves.mapInArrow(vector_cells, "cell long, vec_id long, v array<double>, leaf int")
-    there = there.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    wanted = asked.mapInArrow(query_cells, "cell long, query_id long, v array<double>, leaves array<int>")
-    wanted = wanted.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
+    there = there.join(asks, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
     near = wanted.groupBy("cell", "part").cogroup(there.groupBy("cell", "part")).applyInPandas(lambda asked, there: meet(asked, there, k), schema)
     top = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

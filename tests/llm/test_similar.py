@@ -238,6 +238,8 @@ def test_neighbours_of_odd_rows(spark):
     got = sorted(tuple(r) for r in neighbours.search(df, F.col("vec_id") % 20 == 0).collect())
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 0.0), (20, 1, 1, 2.0), (20, 2, 2, 2.0), (20, 3, 0, 0.0)]
     assert neighbours.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    with pytest.raises(TypeError):
+        neighbours.search(df.withColumn("vec_id", F.col("vec_id").cast("string")), F.lit(True))
 
 
 def test_neighbours_with_many_equal_vectors(spark, monkeypatch):
