@@ -1,4 +1,4 @@
-"""Queries over digest trees, lots and account intervals."""
+"""Queries over digest trees, lots, account intervals and prices through other currencies."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook import adapter as A
 from daybook.catalog.base import TOTAL, VALUE, query, view
-from daybook.operators import drift, facts, lots, validity
+from daybook.operators import conversion, drift, facts, lots, validity
 
 # ---- digest tree ---------------------------------------------------------------------
 
@@ -131,3 +131,35 @@ def w3_uses(spark, sf):
                              F.col("o_orderkey").cast("string").alias("external_id"), F.lit(0).alias("posting_idx"))
     tables = {"postings": postings, "transactions": led["transactions"], "balance_assertions": led["balance_assertions"], "ledger_documents": facts.build_documents(A.other_directives(spark, sf))}
     return validity.invalid_uses(tables, validity.lifecycle(A.lifecycle_directives(spark, sf)))
+
+
+# ---- prices through other currencies -------------------------------------------------
+
+# C0 and C1 are quoted in dollars, C9 in gold only, the others in two commodities before them
+view("cross_px", """SELECT event_id AS seq, CAST(ts AS date) AS date, concat('C', CAST(k AS varchar)) AS commodity, CAST(value AS decimal(19,4)) AS price_amount,
+      CASE WHEN k < 2 THEN 'USD' WHEN k = 9 THEN 'XAU' WHEN event_id % 2 = 0 THEN concat('C', CAST(k - 1 AS varchar)) ELSE concat('C', CAST(k // 2 AS varchar)) END AS price_currency
+    FROM (SELECT *, user_id % 10 AS k FROM events) WHERE event_type = 'view' AND value IS NOT NULL""")
+view("cross_edge", """SELECT *, lead(date) OVER (PARTITION BY commodity, price_currency ORDER BY date) AS until
+    FROM (SELECT commodity, price_currency, date, CAST(arg_max(price_amount, seq) AS double) AS amount FROM cross_px GROUP BY ALL)""", "cross_px")
+
+
+def cross_prices(spark, sf):
+    k = F.col("user_id") % 10
+    named = lambda n: F.concat(F.lit("C"), n.cast("string"))
+    other = F.when(F.col("event_id") % 2 == 0, named(k - 1)).otherwise(named(F.floor(k / 2)))
+    return A.table(spark, sf, "events").where("event_type = 'view' AND value IS NOT NULL").select(
+        F.col("event_id").alias("seq"), F.col("ts").cast("date").alias("date"), named(k).alias("commodity"), F.col("value").cast("decimal(19,4)").alias("price_amount"),
+        F.when(k < 2, "USD").when(k == 9, "XAU").otherwise(other).alias("price_currency"))
+
+
+@query("j9_value_in_dollars", f"""SELECT event_id, h.commodity, h.date, quantity, hops, rate, CAST(quantity AS double) * rate AS value FROM hold h LEFT JOIN (
+      WITH RECURSIVE walk AS (
+        SELECT DISTINCT commodity, date, commodity AS cur, CAST(0 AS integer) AS hops, CAST(1 AS double) AS rate, CAST([] AS STRUCT(age bigint, currency varchar)[]) AS steps FROM hold
+        UNION ALL
+        SELECT w.commodity, w.date, price_currency, CAST(hops + 1 AS integer), rate * amount, list_append(steps, {{'age': -date_diff('day', DATE '1970-01-01', e.date), 'currency': price_currency}})
+        FROM walk w JOIN cross_edge e ON e.commodity = w.cur AND e.date <= w.date AND (until IS NULL OR w.date < until) WHERE hops < {conversion.DEPTH} AND w.cur <> 'USD')
+      SELECT *, row_number() OVER (PARTITION BY commodity, date ORDER BY hops, steps) AS place FROM walk WHERE cur = 'USD') r
+    ON r.commodity = h.commodity AND r.date = h.date AND place = 1""", "hold cross_edge")
+def j9_in_dollars(spark, sf):
+    return conversion.value_in(A.holdings(spark, sf), cross_prices(spark, sf), "USD").select(
+        "event_id", "commodity", "date", "quantity", "hops", "rate", "value")

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 import pytest
 
-from daybook.operators import drift, lots, validity
+from daybook.operators import conversion, drift, lots, validity
 
 DAY = dt.date(2024, 1, 1)
 
@@ -135,3 +135,37 @@ def test_no_range_join_or_wide_window(spark):
     for plan in (lots.matches(df), validity.outside(life, df.select("account", "date"))):
         text = plan._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_rates_equal_all_paths(spark):
+    """Every path of at most three quotes, as of every day, by a plain recursion."""
+    r = random.Random(8)
+    names = ["A", "B", "C", "D", "E", "USD"]
+    quotes = [(r.choice(names), r.choice(names[1:]), day(r.randrange(12)), r.choice([None, Decimal(r.randrange(1, 90)) / 8]), i) for i in range(60)]
+    quotes += [("X", "Y", day(0), Decimal(2), 90), ("Y", "X", day(0), Decimal(3), 91), (None, "USD", day(0), Decimal(1), 92), ("Z", None, day(0), Decimal(1), 93)]
+    prices = spark.createDataFrame(quotes, "commodity string, price_currency string, date date, price_amount decimal(19,4), seq long")
+    held = [(c, day(n), Decimal(n + 1)) for c in [*names, "X", "Z", None] for n in range(0, 14, 3)] + [("A", day(3), Decimal(4)), ("A", None, Decimal(1))]
+
+    def edges(at, on):
+        last = {}
+        for c, to, d, x, seq in sorted(quotes, key=lambda q: (q[2], q[4])):
+            if c == at and to not in (None, c) and x is not None and d <= on:
+                last[to] = (d, float(x))
+        return last
+
+    def paths(at, on, steps, rate):
+        if at == "USD":
+            yield len(steps), steps, rate
+        elif len(steps) < conversion.DEPTH:
+            for to, (d, x) in edges(at, on).items():
+                yield from paths(to, on, [*steps, (-d.toordinal(), to)], rate * x)
+
+    want = []
+    for c, d, q in held:
+        hops, _, rate = min(paths(c, d, [], 1.0), default=(None, None, None)) if c and d else (None, None, None)
+        want.append((c, d, q, hops, rate, rate and float(q) * rate))
+    frame = spark.createDataFrame(held, "commodity string, date date, quantity decimal(19,4)")
+    got = [tuple(x) for x in conversion.value_in(frame, prices, "USD").select("commodity", "date", "quantity", "hops", "rate", "value").collect()]
+    assert sorted(map(str, got)) == sorted(str((c, d, q.quantize(Decimal("0.0001")), *x)) for c, d, q, *x in want)
+    assert {x[3] for x in want} >= {None, 0, 1, 2} and conversion.value_in(frame.limit(0), prices, "USD").isEmpty()
+    assert {x.hops for x in conversion.value_in(frame, prices.limit(0), "USD").collect()} == {None, 0}
