@@ -24,20 +24,24 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+import sys
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .bpe import CACHED_LENGTH, pieces_of
+from .bpe import CACHED_LENGTH, byte_letters, pieces_of
 from .stage import staged
 
 TIERS = (128, 256, 512, 1024)
@@ -48,10 +52,26 @@ BLOCK = 1 << 19          # bytes of text encoded at a time
 OUT_BYTES = 1 << 24      # ids in one batch of output rows
 
 
+def merger(spec: dict) -> Callable[[bytes], list[int]] | None:
+    """Ids of a piece's bytes, for a vocabulary of all bytes and of one token for each merge, with ids in the merges' order;
+    None for others."""
+    model, special = spec["model"], {t["content"] for t in spec["added_tokens"]}
+    if sys.byteorder != "little" or array("I").itemsize != 4 or model.get("type") != "BPE" or any(
+            model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return None
+    vocab, letters = model["vocab"], byte_letters()
+    made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    plain = [t for t in vocab if t not in special]
+    if any(a >= b for a, b in pairwise(made)) or len(plain) != len(letters) + len(made) or not letters.keys() <= vocab.keys():
+        return None
+    ranks = {bytes(letters[c] for c in t): vocab[t] for t in plain}
+    return tiktoken.Encoding("ranks", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
 class Encoder:
     """Ids by the `tokenizers` library, packed as bytes. Pieces of the splitting pattern encode alike alone and in
-    a text, so each is encoded once and remembered. New words are handed to the library in one text and told apart
-    by the bytes their tokens stand for."""
+    a text, so each is encoded once and remembered. Where merges rank like the ids they make, short new pieces are merged
+    by rank with `tiktoken`, which gives the same ids without the library's cost for each call."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -65,10 +85,7 @@ class Encoder:
         self.by_piece = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not spec["normalizer"]
                          and not split["add_prefix_space"])
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)").search
-        vocab = self.library.get_vocab()
-        self.widths = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token: one letter stands for a byte
-        for t, i in vocab.items():
-            self.widths[i] = len(t)
+        self.merge = merger(spec) if self.by_piece else None
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}      # the generation before: what is met again moves over
 
@@ -80,18 +97,10 @@ class Encoder:
             met = {p: self.older[p] for p in new if p in self.older}
             self.pieces.update(met)
             new = new.difference(met)
-        words = [p for p in new if p[0] == " " and p[1:].isalpha()]  # in a row, each is again a piece
-        if words:
-            ids = np.array(self.library.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
-            ends, wanted = np.cumsum(self.widths[ids]), np.cumsum([len(w.encode()) for w in words])
-            at = np.searchsorted(ends, wanted)
-            if np.array_equal(ends[np.minimum(at, len(ends) - 1)], wanted):
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(words, (4 * (at + 1)).tolist()):
-                    self.pieces[word] = raw[start:end]
-                    start = end
-                new = new.difference(words)
         rest = list(new)
+        if self.merge:
+            self.pieces.update((p, array("I", self.merge(p.encode())).tobytes()) for p in new if len(p) <= CACHED_LENGTH)
+            rest = [p for p in new if len(p) > CACHED_LENGTH]
         self.pieces.update(zip(rest, self._library(rest)))
 
     def ids(self, texts: list[str]) -> list[bytes]:

@@ -1,6 +1,7 @@
 """Encoding, counting and packing against the library itself."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -99,6 +100,27 @@ def test_op3_and_odd_rows(spark, odd, none, docs):
     assert {tuple(r) for r in QUERIES["op3_token_counts"](spark, "/root/testdata/sf0.001").collect()} == want
 
 
+def test_merging_by_rank_is_the_librarys():
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    merge = packing.merger(spec)
+    r = random.Random(8)
+    pieces = {p for t in random_texts(400) if "<|endoftext|>" not in t for p in bpe.pieces_of(t)}
+    pieces |= {"".join(r.choices("aeinrst", k=r.randrange(1, 40))) for _ in range(4000)} | {"a" * n for n in range(1, 65)}
+    pieces |= {" " + "".join(chr(r.choice((97, 0xE9, 0x4E2D, 0x1F600)) + r.randrange(20)) for _ in range(r.randrange(1, 12))) for _ in range(2000)}
+    for p in sorted(pieces):
+        for q in bpe.pieces_of(p):
+            assert merge(q.encode()) == ids_of(q), q
+    code = packing.Encoder(PATH)
+    texts = random_texts(300) + ["a" * 3000, "", " " * 500]
+    assert [np.frombuffer(x, "<u4").tolist() for x in code.ids(texts)] == [ids_of(t) for t in texts]
+    # merges in another order than their ids, or a token no merge makes: the library does it
+    model = spec["model"]
+    assert packing.merger(spec | {"model": model | {"merges": model["merges"][::-1]}}) is None
+    assert packing.merger(spec | {"model": model | {"merges": model["merges"][:-1]}}) is None
+    assert packing.merger(spec | {"model": model | {"ignore_merges": True}}) is None
+
+
 def check_packing(rows, documents, tiers=packing.TIERS, last=1):
     """Every id once, in order, gapless sequences, padding only in a partition's last window."""
     pieces, sequences = defaultdict(list), defaultdict(list)
