@@ -1,13 +1,17 @@
-"""Queries over digest trees, lots, account intervals and prices through other currencies."""
+"""Queries over digest trees, lots, account intervals, prices through other currencies and balances in two levels."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from daybook import adapter as A
 from daybook.catalog.base import TOTAL, VALUE, query, view
-from daybook.operators import conversion, drift, facts, lots, validity
+from daybook.catalog.reports import VERDICT
+from daybook.operators import conversion, drift, facts, lots, snapshots, validity
+from daybook.sources.workspace import Workspace
 
 # ---- digest tree ---------------------------------------------------------------------
 
@@ -163,3 +167,33 @@ def cross_prices(spark, sf):
 def j9_in_dollars(spark, sf):
     return conversion.value_in(A.holdings(spark, sf), cross_prices(spark, sf), "USD").select(
         "event_id", "commodity", "date", "quantity", "hops", "rate", "value")
+
+
+# ---- balances in two levels ----------------------------------------------------------
+
+AS_OF = dt.date(1997, 5, 17)
+
+
+def stored_months(spark, sf):
+    """The months of two batches, stored one after the other."""
+    p, folder = A.line_postings(spark, sf), Workspace(spark, "months").path
+    early = F.col("external_id").cast("bigint") % 2 == 0
+    for i, batch in enumerate((p.where(early), p.where(~early))):
+        snapshots.add_batch(batch, folder, i)
+    return snapshots.stored_months(spark, folder)
+
+
+@query("w6_month_balances", f"""SELECT account, currency, month, CAST(change AS {TOTAL}) AS change, CAST(sum(change) OVER (PARTITION BY account, currency ORDER BY month) AS {TOTAL}) AS balance
+    FROM (SELECT account, currency, CAST(date_trunc('month', date) AS date) AS month, sum(amount) AS change FROM p GROUP BY ALL)""", "p")
+def w6_months(spark, sf):
+    return snapshots.closing_balances(stored_months(spark, sf))
+
+
+@query("a1_balances_as_of", f"SELECT account, currency, CAST(sum(amount) AS {TOTAL}) AS balance FROM p WHERE date <= DATE '{AS_OF}' GROUP BY account, currency", "p")
+def a1_as_of(spark, sf):
+    return snapshots.balances_as_of(stored_months(spark, sf), A.line_postings(spark, sf), AS_OF)
+
+
+@query("j8_verify_by_months", VERDICT.format(tol="0.005"), "p bal")
+def j8_months(spark, sf):
+    return snapshots.verify_balances(A.flat_ledger(spark, sf), stored_months(spark, sf))

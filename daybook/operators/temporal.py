@@ -46,17 +46,21 @@ def opening_balances(postings: DataFrame, wanted: DataFrame) -> DataFrame:
             .filter("asked").select("account", "currency", "date", "computed"))
 
 
-def verify_balances(led: dict, tol: str = "0.005") -> DataFrame:
-    """Each balance assertion with the opening balance of its day, the difference and a verdict."""
-    a = led["balance_assertions"]
-    on = ["account", "currency", "date"]
-    return (a.join(opening_balances(led["postings"], a), on)
+def verdicts(assertions: DataFrame, opening: DataFrame, tol: str) -> DataFrame:
+    """Balance assertions with the opening balance of their day (computed), the difference and whether it is within tol."""
+    return (assertions.join(opening, ["account", "currency", "date"])
             .withColumn("diff", (F.col("computed") - F.col("amount")).cast(TOTAL))
             .withColumn("ok", F.abs("diff") <= F.lit(tol).cast("decimal(19,4)"))
             .select("date", "account", "currency", F.col("amount").alias("asserted"), "computed", "diff", "ok",
                     "source_file", "source_line"))
 
 
+def verify_balances(led: dict, tol: str = "0.005") -> DataFrame:
+    """Each balance assertion with the opening balance of its day, the difference and a verdict."""
+    a = led["balance_assertions"]
+    return verdicts(a, opening_balances(led["postings"], a), tol)
+
+
 def prices_as_of(prices: DataFrame, wanted: DataFrame) -> DataFrame:
     """Latest price on or before each wanted (commodity, date).
 

@@ -7,7 +7,7 @@ from decimal import Decimal
 
 import pytest
 
-from daybook.operators import conversion, drift, lots, validity
+from daybook.operators import conversion, drift, lots, snapshots, temporal, validity
 
 DAY = dt.date(2024, 1, 1)
 
@@ -169,3 +169,68 @@ def test_rates_equal_all_paths(spark):
     assert sorted(map(str, got)) == sorted(str((c, d, q.quantize(Decimal("0.0001")), *x)) for c, d, q, *x in want)
     assert {x[3] for x in want} >= {None, 0, 1, 2} and conversion.value_in(frame.limit(0), prices, "USD").isEmpty()
     assert {x.hops for x in conversion.value_in(frame, prices.limit(0), "USD").collect()} == {None, 0}
+
+
+POSTED = "account string, currency string, date date, amount decimal(19,4)"
+
+
+def test_month_balances_are_plain_sums(spark, tmp_path):
+    r = random.Random(12)
+    accounts = ["Assets", "Assets:Bank", "Assets:Bank:Checking", "Assets:Bank2", "Income:Job", None]
+    rows = [(r.choice(accounts), r.choice(["USD", "EUR", None]), r.choice([day(r.randrange(-500, 500)), day(0), None]), Decimal(r.randrange(-9999, 9999)) / 100)
+            for _ in range(700)]
+    frame = lambda some: spark.createDataFrame(some, POSTED)
+    folder = str(tmp_path / "months")
+    # three batches, one written again after an attempt that held something else, and one without rows
+    snapshots.add_batch(frame(rows[:9]), folder, 1)
+    for i in range(3):
+        snapshots.add_batch(frame(rows[i::3]), folder, i)
+    snapshots.add_batch(frame([]), folder, 3)
+    m = snapshots.stored_months(spark, folder)
+    known = [x for x in rows if None not in x]
+    posted = frame(rows)
+
+    own = {(x.account, x.currency, x.month): (x.change, x.balance) for x in snapshots.closing_balances(m).collect()}
+    first = {(a, c, d.replace(day=1)) for a, c, d, _ in known}
+    total = lambda keep: sum((x[3] for x in known if keep(*x[:3])), Decimal(0))
+    assert own == {(a, c, f): (total(lambda b, e, d: (b, e, d.replace(day=1)) == (a, c, f)), total(lambda b, e, d: (b, e) == (a, c) and d.replace(day=1) <= f))
+                   for a, c, f in first}
+
+    for at in (day(0), day(-1), day(30), day(-900), day(900)):
+        got = {(x.account, x.currency): x.balance for x in snapshots.balances_as_of(m, posted, at).collect()}
+        assert got == {(a, c): total(lambda b, e, d: (b, e) == (a, c) and d <= at) for a, c in {x[:2] for x in known if x[2] <= at}}
+
+    wanted = [(r.choice(accounts + ["Nowhere"]), r.choice(["USD", "EUR", None]), r.choice([day(r.randrange(-520, 520)), day(0), day(0).replace(month=2), None])) for _ in range(120)]
+    wanted += wanted[:10]
+    asked = spark.createDataFrame(wanted, "account string, currency string, date date")
+    got = [tuple(x) for x in snapshots.opening_balances(m, posted, asked).collect()]
+    below = lambda name, top: name == top or name.startswith(top + ":")
+    assert sorted(got) == sorted((a, c, at, total(lambda b, e, d: below(b, a) and e == c and d < at)) for a, c, at in {w for w in wanted if None not in w})
+    dated = posted.where("date IS NOT NULL")
+    assert sorted(got) == sorted(tuple(x) for x in temporal.opening_balances(dated, asked.dropna()).collect())
+
+    none = frame([])
+    assert snapshots.closing_balances(m.limit(0)).isEmpty() and snapshots.balances_as_of(m.limit(0), none, day(0)).isEmpty()
+    assert snapshots.opening_balances(m, posted, asked.limit(0)).isEmpty()
+    assert {x.computed for x in snapshots.opening_balances(m.limit(0), none, asked).collect()} == {Decimal(0)}
+
+
+def test_a_correction_is_a_batch_of_negated_rows(spark, tmp_path):
+    rows = [("Assets:Bank", "USD", day(i), Decimal(i + 1)) for i in range(40)]
+    folder = str(tmp_path / "months")
+    snapshots.add_batch(spark.createDataFrame(rows, POSTED), folder, 0)
+    snapshots.add_batch(spark.createDataFrame([(a, c, d, -x) for a, c, d, x in rows[:5]], POSTED), folder, 1)
+    m = snapshots.closing_balances(snapshots.stored_months(spark, folder))
+    assert [x.balance for x in m.orderBy("month").collect()] == [sum(range(6, 32)), sum(range(6, 41))]
+
+
+def test_balances_read_the_years_asked_for(spark, tmp_path):
+    rows = spark.createDataFrame([("Assets:Bank", "USD", day(200 * i), Decimal(i)) for i in range(12)], POSTED)
+    rows.selectExpr("*", "year(date) AS year").write.partitionBy("year").parquet(str(tmp_path / "p"))
+    stored, m = spark.read.parquet(str(tmp_path / "p")), snapshots.months(rows)
+    asked = spark.createDataFrame([("Assets", "USD", day(800))], "account string, currency string, date date")
+    for found, answer in ((snapshots.opening_balances(m, stored, asked), 0 + 1 + 2 + 3), (snapshots.balances_as_of(m, stored, day(800)), 0 + 1 + 2 + 3 + 4)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scan = plan[plan.index("PartitionFilters"):]
+        assert "year#" in scan[:scan.index("PushedFilters")] and "2026" in scan[:scan.index("PushedFilters")]
+        assert [x[-1] for x in found.collect()] == [answer]
