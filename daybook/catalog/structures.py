@@ -1,4 +1,5 @@
-"""Queries over digest trees, lots, account intervals, prices through other currencies and balances in two levels."""
+"""Queries over digest trees, lots, account intervals, prices through other currencies, balances in two levels and
+connected transactions."""
 
 from __future__ import annotations
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from daybook import adapter as A
 from daybook.catalog.base import TOTAL, VALUE, query, view
 from daybook.catalog.reports import VERDICT
-from daybook.operators import conversion, drift, facts, lots, snapshots, validity
+from daybook.operators import connected, conversion, drift, facts, lots, snapshots, validity
 from daybook.sources.workspace import Workspace
 
 # ---- digest tree ---------------------------------------------------------------------
@@ -197,3 +198,42 @@ def a1_as_of(spark, sf):
 @query("j8_verify_by_months", VERDICT.format(tol="0.005"), "p bal")
 def j8_months(spark, sf):
     return snapshots.verify_balances(A.flat_ledger(spark, sf), stored_months(spark, sf))
+
+
+# ---- connected transactions ----------------------------------------------------------
+
+# a third of all customers pay into one collective invoice; others share a customer's month or the first part's quarter
+view("tie", """SELECT CAST(o_orderkey AS varchar) AS external_id,
+      CASE WHEN o_custkey % 3 = 0 THEN 'collective' ELSE concat('cust-', CAST(o_custkey AS varchar), '-', strftime(CAST(o_orderdate AS date), '%Y%m')) END AS link FROM orders
+    UNION SELECT CAST(o_orderkey AS varchar), concat('lot-', CAST(l_partkey AS varchar), '-', CAST(year(CAST(o_orderdate AS date)) AS varchar), '-', CAST(quarter(CAST(o_orderdate AS date)) AS varchar))
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 1""")
+# labels go round until nothing can change: a path has fewer steps than the rounds
+view("tied", """SELECT id AS external_id, label AS component, count(*) OVER (PARTITION BY label) AS size FROM (
+      WITH RECURSIVE walk AS (
+        SELECT DISTINCT external_id AS id, external_id AS label, 0 AS step FROM tie
+        UNION ALL
+        SELECT t.external_id, min(m.label), any_value(m.step) + 1
+        FROM tie t JOIN (SELECT link, min(label) AS label, any_value(step) AS step FROM walk JOIN tie ON external_id = id WHERE step < 60 GROUP BY link) m ON m.link = t.link
+        GROUP BY t.external_id)
+      SELECT id, label FROM walk WHERE step = 60)""", "tie")
+
+
+def tie_pairs(spark, sf):
+    orders = A.table(spark, sf, "orders").withColumn("date", F.col("o_orderdate").cast("date"))
+    own = F.col("o_orderkey").cast("string").alias("external_id")
+    paid = F.when(F.col("o_custkey") % 3 == 0, "collective").otherwise(F.concat_ws("-", F.lit("cust"), "o_custkey", F.date_format("date", "yyyyMM")))
+    first = A.table(spark, sf, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    lot = F.concat_ws("-", F.lit("lot"), "l_partkey", F.year("date"), F.quarter("date"))
+    return orders.select(own, paid.alias("link")).unionByName(orders.join(first, "o_orderkey").select(own, lot.alias("link")))
+
+
+@query("j10_components", "SELECT * FROM tied", "tied")
+def j10_components(spark, sf):
+    found = connected.components(tie_pairs(spark, sf))
+    return found.join(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component").select("external_id", "component", "size")
+
+
+@query("j10_component_totals", f"""SELECT component, size, currency, count(*) AS transactions, CAST(sum(debit) AS {TOTAL}) AS debits
+    FROM tied JOIN (SELECT external_id, currency, sum(amount) FILTER (amount > 0) AS debit FROM p GROUP BY ALL) USING (external_id) GROUP BY ALL""", "p tied")
+def j10_totals(spark, sf):
+    return connected.component_totals({"transaction_links": tie_pairs(spark, sf), "postings": A.line_postings(spark, sf)})

@@ -1,4 +1,4 @@
-"""Digest trees, lots and account intervals against plain Python."""
+"""Digest trees, lots, account intervals, rates, two-level balances and connected transactions against plain Python."""
 
 import datetime as dt
 import random
@@ -7,7 +7,8 @@ from decimal import Decimal
 
 import pytest
 
-from daybook.operators import conversion, drift, lots, snapshots, temporal, validity
+from daybook.operators import connected, conversion, drift, lots, snapshots, temporal, validity
+from daybook.sources.workspace import Workspace
 
 DAY = dt.date(2024, 1, 1)
 
@@ -234,3 +235,59 @@ def test_balances_read_the_years_asked_for(spark, tmp_path):
         scan = plan[plan.index("PartitionFilters"):]
         assert "year#" in scan[:scan.index("PushedFilters")] and "2026" in scan[:scan.index("PushedFilters")]
         assert [x[-1] for x in found.collect()] == [answer]
+
+
+def joined(rows):
+    """Components by union and find."""
+    top = {}
+
+    def root(x):
+        while top.setdefault(x, x) != x:
+            top[x] = x = top[top[x]]
+        return x
+    for t, link in rows:
+        if t is not None and link is not None:
+            a, b = root(("t", t)), root(("l", link))
+            top[a] = b
+    members = defaultdict(list)
+    for t in {t for t, link in rows if t is not None and link is not None}:
+        members[root(("t", t))].append(t)
+    return {t: min(m) for m in members.values() for t in m}
+
+
+TIES = "external_id string, link string"
+
+
+def test_components_equal_union_and_find(spark):
+    r = random.Random(21)
+    ids = [f"{r.randrange(10 ** 6)}" for _ in range(700)] + ["", "a" * 3000]
+    for width in (300, 900):     # dense and sparse
+        rows = [(r.choice(ids), f"l{r.randrange(width)}") for _ in range(700)]
+        rows += rows[:20] + [(None, "l1"), (None, "l2"), ("lonely", None), ("alone", "own"), ("", "l3")]
+        rows += [(f"hot{i}", "everyone") for i in range(400)] + [("hot7", "l5")]
+        names = [f"c{r.randrange(10 ** 6):06}" for _ in range(90)]        # a long chain in no order
+        rows += [(n, f"step{i + j}") for i, n in enumerate(names) for j in (0, 1)]
+        got = connected.components(spark.createDataFrame(rows, TIES)).collect()
+        want = joined(rows)
+        assert {x.external_id: x.component for x in got} == want and len(got) == len(want)
+    assert connected.components(spark.createDataFrame([], TIES)).isEmpty()
+    assert connected.components(spark.createDataFrame([(None, "a"), ("b", None)], TIES)).isEmpty()
+
+
+def test_component_totals(spark):
+    ties = spark.createDataFrame([("1", "a"), ("2", "a"), ("2", "b"), ("3", "b"), ("4", "c"), ("5", "c")], TIES)
+    posted = spark.createDataFrame([("1", "USD", Decimal(5)), ("1", "USD", Decimal(-5)), ("3", "USD", Decimal(2)), ("2", "EUR", Decimal(-1)),
+                                    ("4", "USD", Decimal(1)), ("9", "USD", Decimal(8))], "external_id string, currency string, amount decimal(19,4)")
+    got = connected.component_totals({"transaction_links": ties, "postings": posted}).collect()
+    assert sorted(map(tuple, got)) == [("1", 3, "EUR", 1, None), ("1", 3, "USD", 2, Decimal(7)), ("4", 2, "USD", 1, Decimal(1))]
+
+
+def test_a_link_makes_rows_not_pairs(spark, tmp_path):
+    """What is staged grows with the rows of a hot link, not with their square."""
+    work = Workspace(spark, "ties")
+    sizes, stage = [], work.stage
+    work.stage = lambda df, name, *by: (lambda out: sizes.append(out.count()) or out)(stage(df, name, *by))
+    n = 3000
+    rows = spark.range(n).selectExpr("CAST(id AS string) AS external_id", "'all' AS link")
+    assert connected.components(rows, work).select("component").distinct().count() == 1
+    assert max(sizes) <= n
