@@ -308,7 +308,7 @@ WIDE = """SELECT external_id, account, currency, CAST(amount * 10000 AS HUGEINT)
 @query("a18_cost_basis_wide", f"""SELECT account, currency AS commodity, 'USD' AS cost_currency, CAST(CAST(sum(a) AS varchar) AS DECIMAL(38,0)) AS units_e4,
       CAST(CAST(sum(a * c) AS varchar) AS DECIMAL(38,0)) AS cost_e8 FROM ({WIDE}) GROUP BY account, currency""", "p")
 def a18_wide(spark, sf):
-    cost = "CAST(CAST(l_partkey AS decimal(15,0)) * CAST(100000000000 AS decimal(12,0)) + CAST(1.2345 AS decimal(5,4)) + amount AS decimal(19,4))"
+    cost = "CAST(CAST(l_partkey AS decimal(15,0)) * CAST(100000000000 AS decimal(12,0)) + CAST(1.2345 AS decimal(5,4)) + amount AS decimal(23,4))"   # wider than the stored type, as part keys grow
     postings = led(spark, sf)["postings"].withColumns({"cost_amount": F.expr(cost), "cost_currency": F.lit("USD")})
     basis = R.cost_basis({"postings": postings})
     whole = lambda c, places: F.replace(F.col(c).cast("string"), F.lit("."), F.lit("")).cast("decimal(38,0)").alias(f"{c}_e{places}")

@@ -9,6 +9,7 @@ from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 import ledger1 as G
+from daybook.catalog import QUERIES
 from daybook.functions.money import times
 from daybook.operators import directives as D
 from daybook.operators import temporal
@@ -227,6 +228,23 @@ def test_wide_costs(spark):
     assert {r.account: r.cost for r in cost_basis({"postings": p}).collect()} == {"A": Decimal("308641972530862.80850000"), "B": Decimal("-308641972530862.80850000")}
 
 
+def test_costs_wider_than_stored(spark):
+    """Costs of 16 and 19 whole digits."""
+    rows = [("A", Decimal("2.5"), Decimal("1502400000021979.3645")), ("B", Decimal("-0.0003"), Decimal("9999999999999999999.9999"))]
+    p = spark.createDataFrame(rows, "account string, amount decimal(19,4), cost_amount decimal(23,4)").withColumns({"currency": F.lit("X"), "cost_currency": F.lit("USD")})
+    assert {r.account: r.cost for r in cost_basis({"postings": p}).collect()} == {r[0]: r[1] * r[2] for r in rows}
+
+
+def test_wide_query_with_large_part_keys(spark, tmp_path):
+    """Part keys of 10,000 and more, as larger tables have."""
+    spark.range(1).selectExpr("1L AS o_orderkey", "TIMESTAMP '1996-01-02' AS o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, 15024, 1, 1, 17.0, 21978.13, 0.04, "N", "O")], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string").withColumn("l_shipdate", F.lit("1996-02-01").cast("timestamp")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    cost, amount = Decimal(15024) * 10 ** 11 + Decimal("1.2345"), Decimal("21978.13")
+    want = {(int(a * 10 ** 4), int(a * (cost + a) * 10 ** 8)) for a in (amount, -amount)}
+    assert {(int(r.units_e4), int(r.cost_e8)) for r in QUERIES["a18_cost_basis_wide"](spark, str(tmp_path)).collect()} == want
+
+
 def test_last_quote_of_a_day_follows_the_import(spark, d, tmp_path):
     quotes = [G.row(1, "price", "2024-01-10", currency="EUR", number="1.10", number_currency="USD", source_line=9, source_file="z"),
               G.row(2, "price", "2024-01-10", currency="EUR", number="2.00", number_currency="USD", source_line=9, source_file="a"),
