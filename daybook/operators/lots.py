@@ -31,10 +31,15 @@ def trades(postings: DataFrame) -> DataFrame:
 
 
 def stretches(t: DataFrame) -> DataFrame:
-    """Trades with the stretch (low, high) of quantity that each covers among those of its side."""
-    days = t.groupBy(*KEY, "side", "date").agg(F.sum("quantity").alias("day"))
+    """Trades with the stretch (low, high) of quantity that each covers among those of its side, and of their key all that is
+    sold (null if nothing is), the longest stretch (total) and the number of trades (rows)."""
+    days = t.groupBy(*KEY, "side", "date").agg(F.sum("quantity").alias("day"), F.count(F.lit(1)).alias("trades"))
     earlier = Window.partitionBy(*KEY, "side").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(*KEY, "side", "date", F.coalesce(F.sum("day").over(earlier), F.lit(0)).cast(TOTAL).alias("before"))
+    days = days.withColumn("before", F.coalesce(F.sum("day").over(earlier), F.lit(0)).cast(TOTAL)).where("date IS NOT NULL")
+    # of the key from its days, not from its trades: a join by the key alone would bring them together in one task
+    key, until = Window.partitionBy(*KEY), (F.col("before") + F.col("day")).cast(TOTAL)
+    days = days.select(*KEY, "side", "date", "before", F.max(F.when(F.col("side") == "sell", until)).over(key).alias("sold"),
+                       F.max(until).over(key).alias("total"), F.sum("trades").over(key).alias("rows"))
     own = Window.partitionBy(*KEY, "side", "date").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     high = (F.col("before") + F.col("so_far")).cast(TOTAL)
     return (t.withColumn("so_far", F.sum("quantity").over(own)).join(days, [*KEY, "side", "date"])
@@ -42,15 +47,14 @@ def stretches(t: DataFrame) -> DataFrame:
 
 
 def _cut(s: DataFrame, block: int) -> DataFrame:
-    """Stretches cut at the borders of their key's blocks of quantity."""
-    widths = s.groupBy(*KEY).agg(F.max("high").alias("total"), F.count(F.lit(1)).alias("rows"))
-    widths = widths.select(*KEY, F.greatest(F.ceil(F.col("total") / F.ceil(F.col("rows") / block)), F.lit(1)).cast("bigint").alias("width"))
-    wide = s.join(widths, KEY)
+    """Stretches cut at the borders of their key's blocks of quantity, each block in one partition."""
+    width = F.greatest(F.ceil(F.col("total") / F.ceil(F.col("rows") / block)), F.lit(1)).cast("bigint")
+    wide = s.withColumn("width", width).drop("sold", "total", "rows")
     number = lambda c: F.floor(F.col(c) / F.col("width")).cast("bigint")
     last = F.greatest(F.ceil(F.col("high") / F.col("width")).cast("bigint") - 1, number("low"))
     wide = wide.withColumn("block", F.explode(F.sequence(number("low"), last)))
     start = (F.col("block") * F.col("width")).cast(TOTAL)
-    return wide.withColumns({"from": F.greatest("low", start), "to": F.least("high", (start + F.col("width")).cast(TOTAL))})
+    return wide.withColumns({"from": F.greatest("low", start), "to": F.least("high", (start + F.col("width")).cast(TOTAL))}).repartition(*KEY, "block")
 
 
 def matches(postings: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -58,11 +62,11 @@ def matches(postings: DataFrame, block: int = BLOCK) -> DataFrame:
     ends = _cut(stretches(trades(postings)), block)
     of = lambda side: F.when(F.col("side") == side, F.struct("external_id", "posting_idx", "date", "price"))
     start = (F.col("block") * F.col("width")).cast(TOTAL)
-    line = ends.groupBy(*KEY, "block", "to").agg(F.min(start).alias("start"), F.max(of("buy")).alias("buy"), F.max(of("sell")).alias("sell"))  # one of a side ends at a place
-    w = Window.partitionBy(*KEY, "block").orderBy("to")
-    back = Window.partitionBy(*KEY, "block").orderBy(F.desc("to")).rowsBetween(Window.unboundedPreceding, 0)  # the other way would look at all rows to come for each
-    line = line.select(*KEY, (F.col("to") - F.coalesce(F.lag("to").over(w), F.col("start"))).cast(TOTAL).alias("quantity"),
-                       F.last("buy", True).over(back).alias("buy"), F.last("sell", True).over(back).alias("sell"))
+    # backwards, as the other way would look at all rows to come for each; where a buy and a sale end at one place, both see both and one piece is empty
+    w = Window.partitionBy(*KEY, "block").orderBy(F.desc("to"))
+    back = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    line = ends.select(*KEY, (F.col("to") - F.coalesce(F.lead("to").over(w), start)).cast(TOTAL).alias("quantity"),
+                       F.last(of("buy"), True).over(back).alias("buy"), F.last(of("sell"), True).over(back).alias("sell"))
     return line.where("buy IS NOT NULL AND sell IS NOT NULL AND quantity > 0").select(
         *KEY, F.col("buy.external_id").alias("buy_id"), F.col("buy.posting_idx").alias("buy_idx"), F.col("sell.external_id").alias("sell_id"),
         F.col("sell.posting_idx").alias("sell_idx"), F.col("sell.date").alias("sell_date"), "quantity", F.col("buy.price").alias("cost"), F.col("sell.price").alias("price")
@@ -72,9 +76,8 @@ def matches(postings: DataFrame, block: int = BLOCK) -> DataFrame:
 def open_lots(postings: DataFrame) -> DataFrame:
     """What is left of each lot: account, commodity, external_id, posting_idx, date, units, cost (of a unit), basis."""
     s = stretches(trades(postings))
-    sold = s.where("side = 'sell'").groupBy(*KEY).agg(F.max("high").alias("sold"))
     left = F.col("high") - F.greatest(F.col("low"), F.coalesce("sold", F.lit(0).cast(TOTAL)))
-    return (s.where("side = 'buy'").join(sold, KEY, "left").withColumn("units", left.cast("decimal(19,4)")).where("units > 0")
+    return (s.where("side = 'buy'").withColumn("units", left.cast("decimal(19,4)")).where("units > 0")
             .select(*KEY, *ORDER, "date", "units", F.col("price").alias("cost"), times(F.col("units"), F.col("price")).cast(VALUE).alias("basis")))
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from collections import Counter, defaultdict
 from decimal import Decimal
 
@@ -138,6 +139,21 @@ def test_no_range_join_or_wide_window(spark):
         assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_lots_of_a_hot_key_are_spread(spark):
+    """No join or shuffle of trades by their key alone, which would bring a key's trades together in one task."""
+    df = spark.createDataFrame([("A", "X", day(i % 3), f"t{i:03d}", 0, Decimal(1 if i % 2 else -1), Decimal(1), None) for i in range(200)],
+                               "account string, currency string, date date, external_id string, posting_idx int, amount decimal(19,4), cost_amount decimal(19,4), price_amount decimal(19,4)")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")    # as with many keys
+        for out in (lots.matches(df, 4), lots.open_lots(df), lots.realised_gains(df, 4)):
+            text = out._jdf.queryExecution().executedPlan().toString()
+            assert not re.search(r"Join \[account#\d+, (commodity|currency)#\d+\],", text)
+        assert re.search(r"hashpartitioning\(account#\d+, \w+#\d+, block#\d+L", text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_rates_equal_all_paths(spark):
     """Every path of at most three quotes, as of every day, by a plain recursion."""
     r = random.Random(8)
