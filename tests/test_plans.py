@@ -62,3 +62,20 @@ def test_unique_keys_are_not_sorted(spark):
 
 def test_every_check_has_a_query():
     assert set(CHECKS) == set(QUERIES)
+
+
+def test_directives_and_others_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Each kind goes to its folder as it comes; a write of all kinds by kind would sort whole rows in every task."""
+    from pyspark.sql import DataFrameWriter
+
+    from daybook import adapter
+    from daybook.plans import load as L
+
+    sf, by, partition = "/root/testdata/sf0.001", [], DataFrameWriter.partitionBy
+    monkeypatch.setattr(adapter, "_written", {})
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *c: by.extend(c) or partition(self, *c))
+    d = adapter.directives(spark, sf)
+    L.prepare(d)
+    assert "kind" not in by
+    flat = lambda df: sorted(map(tuple, df.selectExpr("seq", "kind", "to_json(struct(*))").collect()))
+    assert flat(d.select(*adapter.directive_rows(spark, sf).columns)) == flat(adapter.directive_rows(spark, sf))
