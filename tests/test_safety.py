@@ -255,3 +255,50 @@ def test_last_quote_of_a_day_follows_the_import(spark, d, tmp_path):
         L.load(spark, G.frame(spark, [quotes[k] for k in order]), root)
         got = temporal.prices_as_of(store.read_table(spark, root, "prices"), asked).collect()
         assert [r.price_amount for r in got] == [Decimal("3.0000")]
+
+
+def test_a_load_joins_transactions_once(spark, d, tmp_path, monkeypatch):
+    """Six tables come from one staged result: nothing is joined or moved again for each of them."""
+    plans, write = {}, store.write_table
+    monkeypatch.setattr(store, "write_table", lambda df, table, *a: plans.update({table: plan(df)}) or write(df, table, *a))
+    L.load(spark, d, str(tmp_path / "led"))
+    for table in ["transactions", *L.CHILDREN]:
+        assert "Join" not in plans[table] and "Exchange" not in plans[table]
+    files = [f for _, _, fs in os.walk(tmp_path / "led" / "data" / "postings") for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 2 and all("zstd" in f for f in files)      # one piece, its years
+
+
+def test_many_chunks_share_commits(spark, d, tmp_path, monkeypatch):
+    from daybook.streaming import ingest
+    monkeypatch.setattr(ingest, "COMMITS", 3)
+    append_chunks(spark, d, str(tmp_path / "cut"), 1)
+    L.load(spark, d, str(tmp_path / "whole"))
+    assert content(spark, str(tmp_path / "cut")) == content(spark, str(tmp_path / "whole"))
+    chunked = [r.folder for r in store.marks(spark, str(tmp_path / "cut"), 1).filter("name = 'postings'").collect()]
+    assert len({f.split("/")[2] for f in chunked}) in (2, 3)
+
+
+def test_given_ids_that_look_generated(spark, d, tmp_path):
+    """A given id equal to a generated one of the run still repeats it."""
+    first = L.prepare(d).ids.filter("external_id = content_hash").orderBy("seq").limit(1).collect()[0]
+    copy = d.filter("kind = 'transaction'").limit(1).withColumns(
+        {"seq": F.lit(999).cast("bigint"), "meta": F.create_map(F.lit("transaction_id"), F.lit(first.external_id))})
+    run = L.prepare(d.unionByName(copy))
+    assert 999 in [r.seq for r in run.later.collect()]
+
+
+def test_stored_ids_are_found_by_hash_or_not(spark, monkeypatch):
+    new = spark.createDataFrame([(i, f"id{i % 40}") for i in range(60)] + [(99, None)], "seq long, external_id string")
+    old = spark.createDataFrame([(f"id{i}",) for i in range(20, 90)] + [(None,)], "external_id string")
+    split = lambda: [sorted(map(tuple, x.collect()), key=str) for x in tx.split_new(new, old)]
+    few = split()
+    monkeypatch.setattr(tx, "FEW", 0)
+    assert few == split() and len(few[1]) == 20
+
+
+def test_packed_hashes(spark):
+    from daybook.functions.identity import packed, unpacked
+    texts = ["ab" * 32, "AB" * 32, "fallback_12345678", "", "h" * 33, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", packed("t"))
+    assert [r[0] for r in df.select(unpacked("p")).collect()] == texts
+    assert df.filter(F.length("p") == 33).count() == 1
