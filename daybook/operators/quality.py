@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.identity import packed
 from daybook.schema import FOREIGN, MAX_LENGTH, NOT_NULL, UNIQUE
 
 
@@ -59,6 +60,8 @@ def quality_report(led: dict[str, DataFrame]) -> DataFrame:
             parts.append(length_violations(led[table], limits).select(
                 F.lit("length").alias("check"), F.lit(table).alias("table"),
                 F.col("column_name").alias("detail"), "violations"))
+    # ids are grouped and joined as bytes
+    led = {t: df.withColumn("external_id", packed("external_id")) if "external_id" in df.columns else df for t, df in led.items()}
     for table, key in UNIQUE.items():
         if table in led:
             parts.append(dup_violations(led[table], key).agg(F.count(F.lit(1)).alias("violations")).select(
