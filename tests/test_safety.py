@@ -303,3 +303,27 @@ def test_packed_hashes(spark):
     assert [r[0] for r in df.select(unpacked("p")).collect()] == texts
     assert df.filter("p is not null").select("p").distinct().count() == 7
     assert [r[0] for r in df.select(F.length("p")).collect()] == [33, 65, 18, 1, 34, None, 36, 37]
+
+
+def test_rollback_with_and_without_file_names_in_children(spark, d, tmp_path):
+    """Children of a loaded ledger name their file; those written without are found by their transaction."""
+    named, plain = str(tmp_path / "named"), str(tmp_path / "plain")
+    L.load(spark, d, named)
+    store.write_ledger(spark, L.ledger_of(d, whole=True), plain)
+    held = lambda root, table: store.read_folders(spark, root, table, store._folders(store.marks(spark, root, 1), None)[table])
+    for table in L.CHILDREN:
+        assert held(named, table).filter("file_name IS NULL").isEmpty()
+        assert held(plain, table).filter("file_name IS NOT NULL").isEmpty()
+    deleted = [{r.table: r.deleted for r in L.rollback(spark, root, ["b.ledger"]).collect()} for root in (named, plain)]
+    assert deleted[0] == deleted[1] and deleted[0]["postings"] > 0
+    left = [{t: sorted(map(str, store.read_table(spark, root, t).drop("created_at", "updated_at", "year").collect())) for t in L.CHILDREN} for root in (named, plain)]
+    assert left[0] == left[1]
+
+
+def test_an_empty_ledger_is_not_searched(spark, d, tmp_path, monkeypatch):
+    from daybook.operators import transactions
+    monkeypatch.setattr(transactions, "split_new", lambda *a, **k: 1 / 0)
+    L.load(spark, d, str(tmp_path / "ledger"))
+    run = L.prepare(d, stage_ids=False)
+    hashes = lambda of: sorted(r.content_hash for r in L.state.run_hashes(of, run.later).collect())
+    assert hashes(run.hashes) == hashes(run.ids)
