@@ -11,6 +11,7 @@ from daybook.operators import transactions as tx
 from daybook.operators.analytics import unbalanced
 from daybook.plans import load as L
 from daybook.sources import store
+from daybook.sources.workspace import Workspace
 
 EUR = "name string, metadata string"
 
@@ -146,3 +147,24 @@ def test_resolve_and_get_or_create(spark):
     assert rows(registries.resolve(fact, dim, "account", strict=False), "account", "v", "account_id") == [("A", 5, 1), ("B", 6, None)]
     names = spark.createDataFrame([("A",), ("C",), ("C",)], "name string")
     assert rows(registries.get_or_create(dim, names), "name", "id") == [("A", 1), ("C", None)]
+
+
+def test_keys_and_references_are_found_by_hash_first(spark):
+    work = Workspace(spark, "test")
+    long = "a" * 64
+    parent = spark.createDataFrame([(long,), (long + "-2",), ("BANK-1",), (None,)], "external_id string")
+    child = spark.createDataFrame([(long, 0), (long, 0), (long, 1), ("gone", 0), ("gone", 0), (None, 0), (None, 0), ("BANK-1", None),
+                                   ("BANK-1", None), ("bank-1", 2)], "external_id string, posting_idx int")
+    keys = {"transactions": ["external_id"], "postings": ["external_id", "posting_idx"]}
+    frames = {"transactions": parent, "postings": child}
+    found = quality.repeated_keys(frames, keys, work)
+    for t, key in keys.items():
+        assert rows(found[t], *key, "n") == rows(quality.dup_violations(frames[t], key), *key, "n"), t
+    assert found["postings"].count() == 4 and found["transactions"].count() == 0
+    lost = quality.rows_without_parent({"postings": child}, parent, "external_id", work)["postings"]
+    assert sorted(r.external_id for r in lost.collect()) == ["bank-1", "gone", "gone"]
+    blank = lambda df, *names: df.select("*", *[F.lit("x").alias(n) for n in names])
+    report = quality.quality_report({"transactions": blank(parent, "date", "flag", "narration"),
+                                     "postings": blank(child, "flag", "account", "amount", "currency")})
+    got = {(r.check, r.table): r.violations for r in report.filter("check IN ('unique', 'reference')").collect()}
+    assert got == {("unique", "transactions"): 0, ("unique", "postings"): 4, ("reference", "postings"): 3}
