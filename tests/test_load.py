@@ -220,3 +220,24 @@ def test_triage(spark):
     S.assert_no_critical(errors.limit(2))
     with pytest.raises(S.CriticalErrors, match="ValidationError at f:2"):
         S.assert_no_critical(errors)
+
+
+def test_many_transactions_meet_their_numbers_where_they_lie(spark, d, tmp_path, monkeypatch):
+    plain, dealt = str(tmp_path / "plain"), str(tmp_path / "dealt")
+    tables = len(spark.catalog.listTables())
+    L.load(spark, d, plain)
+    monkeypatch.setattr(L, "MANY", 0)
+    L.load(spark, d.filter("seq <= 12"), dealt)
+    L.load(spark, d, dealt)                               # against stored ids, too
+    assert content(spark, dealt) == content(spark, plain)
+    assert len(spark.catalog.listTables()) == tables      # nothing of it stays
+    run = L.prepare(d)
+    plan = run.fresh._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    told = {(r.table, r.action): r.n for r in L.preview(d, store.read_ledger(spark, dealt)).collect()}
+    assert told["transactions", "create"] == 0 and told["transactions", "skip"] == 7
+
+
+def test_ledger_and_state_of_one_run(spark, d):
+    led = L.ledger_of(d, whole=True, with_state=True)
+    assert [tuple(r) for r in led["import_state"].collect()] == [(1, G.STATE)]
