@@ -241,3 +241,13 @@ def test_many_transactions_meet_their_numbers_where_they_lie(spark, d, tmp_path,
 def test_ledger_and_state_of_one_run(spark, d):
     led = L.ledger_of(d, whole=True, with_state=True)
     assert [tuple(r) for r in led["import_state"].collect()] == [(1, G.STATE)]
+
+
+def test_children_that_carry_their_file_roll_back_without_a_join(spark, d):
+    files = ["elsewhere/b.ledger"]
+    plain, counts = L.rollback_files(L.ledger_of(d), files)
+    left, deleted = L.rollback_files(L.ledger_of(d, files=True), files)
+    assert sorted(map(tuple, deleted.collect())) == sorted(map(tuple, counts.collect()))
+    for t, df in left.items():
+        assert df.columns == plain[t].columns and sorted(map(str, df.collect())) == sorted(map(str, plain[t].collect())), t
+    assert "LeftAnti" not in left["postings"]._jdf.queryExecution().optimizedPlan().toString()
