@@ -81,7 +81,8 @@ def broker_postings(spark, sf):
     quantity, paid = F.col("l_quantity").cast("decimal(19,4)"), F.col("l_extendedprice").cast("decimal(19,4)")
     return p.where("leg = 1 AND l_quantity > 0").select(
         F.concat(F.lit("Assets:Broker"), (F.col("l_suppkey") % 3).cast("string")).alias("account"), "currency", "date", "external_id",
-        F.row_number().over(Window.partitionBy("external_id").orderBy(*A.LINE_ORDER[:-1])).alias("posting_idx"), F.when(sells, -quantity).otherwise(quantity).alias("amount"), paid.alias("cost_amount"),
+        # by the order's key, by which its lines lie together after they met it; the id is its text
+        F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*A.LINE_ORDER[:-1])).alias("posting_idx"), F.when(sells, -quantity).otherwise(quantity).alias("amount"), paid.alias("cost_amount"),
         F.when(sells, (paid + F.col("l_linenumber")).cast("decimal(19,4)")).alias("price_amount"))
 
 

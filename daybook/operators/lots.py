@@ -30,9 +30,10 @@ def trades(postings: DataFrame) -> DataFrame:
                        F.abs("amount").cast(TOTAL).alias("quantity"), price.alias("price"))
 
 
-def stretches(t: DataFrame) -> DataFrame:
+def stretches(t: DataFrame, how: str = "inner") -> DataFrame:
     """Trades with the stretch (low, high) of quantity that each covers among those of its side, and of their key all that is
-    sold (null if nothing is), the longest stretch (total) and the number of trades (rows)."""
+    sold (null if nothing is), the longest stretch (total) and the number of trades (rows). Trades without account, commodity or date have
+    no stretch; how='left' keeps them."""
     days = t.groupBy(*KEY, "side", "date").agg(F.sum("quantity").alias("day"), F.count(F.lit(1)).alias("trades"))
     earlier = Window.partitionBy(*KEY, "side").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     days = days.withColumn("before", F.coalesce(F.sum("day").over(earlier), F.lit(0)).cast(TOTAL)).where("date IS NOT NULL")
@@ -42,32 +43,40 @@ def stretches(t: DataFrame) -> DataFrame:
                        F.max(until).over(key).alias("total"), F.sum("trades").over(key).alias("rows"))
     own = Window.partitionBy(*KEY, "side", "date").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     high = (F.col("before") + F.col("so_far")).cast(TOTAL)
-    return (t.withColumn("so_far", F.sum("quantity").over(own)).join(days, [*KEY, "side", "date"])
+    return (t.withColumn("so_far", F.sum("quantity").over(own)).join(days, [*KEY, "side", "date"], how)
             .withColumn("high", high).withColumn("low", (F.col("high") - F.col("quantity")).cast(TOTAL)).drop("so_far", "before"))
 
 
 def _cut(s: DataFrame, block: int) -> DataFrame:
-    """Stretches cut at the borders of their key's blocks of quantity, each block in one partition."""
+    """Stretches cut at the borders of their key's blocks of quantity, each block in one partition. What has no stretch stays as it is, with block
+    null and its quantity as the end."""
     width = F.greatest(F.ceil(F.col("total") / F.ceil(F.col("rows") / block)), F.lit(1)).cast("bigint")
     wide = s.withColumn("width", width).drop("sold", "total", "rows")
     number = lambda c: F.floor(F.col(c) / F.col("width")).cast("bigint")
     last = F.greatest(F.ceil(F.col("high") / F.col("width")).cast("bigint") - 1, number("low"))
-    wide = wide.withColumn("block", F.explode(F.sequence(number("low"), last)))
-    start = (F.col("block") * F.col("width")).cast(TOTAL)
-    return wide.withColumns({"from": F.greatest("low", start), "to": F.least("high", (start + F.col("width")).cast(TOTAL))}).repartition(*KEY, "block")
+    wide = wide.withColumn("block", F.explode_outer(F.when(F.col("high").isNotNull(), F.sequence(number("low"), last))))
+    end = F.least("high", (F.col("block") * F.col("width") + F.col("width")).cast(TOTAL))
+    return wide.withColumn("to", F.when(F.col("block").isNull(), F.col("quantity")).otherwise(end)).repartition(*KEY, "block")
 
 
-def matches(postings: DataFrame, block: int = BLOCK) -> DataFrame:
-    """What each sale sells of each lot: account, commodity, buy_id, buy_idx, sell_id, sell_idx, sell_date, quantity, cost, price (of a unit)."""
-    ends = _cut(stretches(trades(postings)), block)
-    of = lambda side: F.when(F.col("side") == side, F.struct("external_id", "posting_idx", "date", "price"))
+def _pieces(ends: DataFrame, *carried: str) -> DataFrame:
+    """The line of each block: account, commodity, block, quantity, and the buy and the sale that hold each piece (either may be null),
+    as structs with what is carried. What has no stretch is a piece of its own."""
+    alone = F.col("block").isNull()
+    of = lambda side: F.when(F.col("side") == side, F.struct("external_id", "posting_idx", "date", "price", *carried))
     start = (F.col("block") * F.col("width")).cast(TOTAL)
     # backwards, as the other way would look at all rows to come for each; where a buy and a sale end at one place, both see both and one piece is empty
     w = Window.partitionBy(*KEY, "block").orderBy(F.desc("to"))
     back = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    line = ends.select(*KEY, (F.col("to") - F.coalesce(F.lead("to").over(w), start)).cast(TOTAL).alias("quantity"),
-                       F.last(of("buy"), True).over(back).alias("buy"), F.last(of("sell"), True).over(back).alias("sell"))
-    return line.where("buy IS NOT NULL AND sell IS NOT NULL AND quantity > 0").select(
+    held = lambda side: F.when(alone, of(side)).otherwise(F.last(of(side), True).over(back))
+    quantity = F.when(alone, F.col("to")).otherwise(F.col("to") - F.coalesce(F.lead("to").over(w), start))
+    return ends.select(*KEY, "block", quantity.cast(TOTAL).alias("quantity"), held("buy").alias("buy"), held("sell").alias("sell")).where("quantity > 0")
+
+
+def matches(postings: DataFrame, block: int = BLOCK) -> DataFrame:
+    """What each sale sells of each lot: account, commodity, buy_id, buy_idx, sell_id, sell_idx, sell_date, quantity, cost, price (of a unit)."""
+    line = _pieces(_cut(stretches(trades(postings)), block))
+    return line.where("buy IS NOT NULL AND sell IS NOT NULL").select(
         *KEY, F.col("buy.external_id").alias("buy_id"), F.col("buy.posting_idx").alias("buy_idx"), F.col("sell.external_id").alias("sell_id"),
         F.col("sell.posting_idx").alias("sell_idx"), F.col("sell.date").alias("sell_date"), "quantity", F.col("buy.price").alias("cost"), F.col("sell.price").alias("price")
     ).groupBy(*KEY, "buy_id", "buy_idx", "sell_id", "sell_idx", "sell_date", "cost", "price").agg(F.sum("quantity").cast(TOTAL).alias("quantity"))  # a pair may span blocks
@@ -82,15 +91,26 @@ def open_lots(postings: DataFrame) -> DataFrame:
 
 
 def realised_gains(postings: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Every sale with its quantity, what of it no lot covers, cost of the lots sold, proceeds of what is covered, and gain."""
-    m = matches(postings, block).withColumn("q", F.col("quantity").cast("decimal(19,4)"))
-    per = m.groupBy(*KEY, "sell_id", "sell_idx").agg(F.sum("quantity").alias("covered"), F.sum(times(F.col("q"), F.col("cost"))).cast(VALUE).alias("cost"),
-                                                     F.sum(times(F.col("q"), F.col("price"))).cast(VALUE).alias("proceeds"),
-                                                     # not from the two sums: their difference would lose its last place
-                                                     F.sum(times(F.col("q"), (F.col("price") - F.col("cost")).cast("decimal(19,4)"))).cast(VALUE).alias("gain"))
-    per = per.withColumnsRenamed({"sell_id": "external_id", "sell_idx": "posting_idx"})
-    zero = F.lit(0).cast("decimal(1,0)")
-    return (trades(postings).where("side = 'sell'").join(per, [*KEY, *ORDER], "left")
-            .select(*KEY, *ORDER, "date", "quantity", (F.col("quantity") - F.coalesce("covered", zero)).cast(TOTAL).alias("uncovered"),
-                    F.coalesce("cost", zero).cast(VALUE).alias("cost"), F.coalesce("proceeds", zero).cast(VALUE).alias("proceeds"),
-                    F.coalesce("gain", zero).cast(VALUE).alias("gain")))
+    """Every sale with its quantity, what of it no lot covers, cost of the lots sold, proceeds of what is covered, and gain.
+
+    A sale is the sum of its pieces, covered or not, added up in each block first: neither the pairs of buys and sales are moved nor the
+    trades once more. Sales of one id share what covers them."""
+    ends = _cut(stretches(trades(postings), "left"), block).where("block IS NOT NULL OR side = 'sell'")
+    covered = F.when(F.col("buy").isNotNull(), F.col("quantity"))
+    q, cost, price = covered.cast("decimal(19,4)"), F.col("buy.price"), F.col("sell.price")
+    line = _pieces(ends, "quantity", "high").where("sell IS NOT NULL").select(
+        *KEY, "block", *[F.col(f"sell.{c}").alias(c) for c in [*ORDER, "date", "quantity", "high"]],
+        covered.alias("covered"), times(q, cost).cast(VALUE).alias("cost"), times(q, price).cast(VALUE).alias("proceeds"),
+        # not from the two sums: their difference would lose its last place
+        times(q, (price - cost).cast("decimal(19,4)")).cast(VALUE).alias("gain"), F.lit(1).cast("bigint").alias("n"))
+    sale, sums = [*KEY, *ORDER, "date", "quantity", "high"], {"covered": TOTAL, "cost": VALUE, "proceeds": VALUE, "gain": VALUE, "n": "bigint"}
+    added = [F.sum(c).cast(kind).alias(c) for c, kind in sums.items()]
+    per = line.groupBy(*sale, "block").agg(*added).repartition(*KEY, *ORDER).groupBy(*sale).agg(*added)
+    # equal sales without a stretch were added up as one
+    per = per.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(F.col("high").isNull(), F.col("n")).otherwise(F.lit(1)))))
+    named = F.lit(True)
+    for c in [*KEY, *ORDER]:
+        named = named & F.col(c).isNotNull()
+    of_id = lambda c: F.coalesce(F.when(named, F.sum(c).over(Window.partitionBy(*KEY, *ORDER))), F.lit(0).cast("decimal(1,0)"))
+    return per.select(*KEY, *ORDER, "date", "quantity", (F.col("quantity") - of_id("covered")).cast(TOTAL).alias("uncovered"),
+                      *[of_id(c).cast(VALUE).alias(c) for c in ["cost", "proceeds", "gain"]])

@@ -307,3 +307,20 @@ def test_a_link_makes_rows_not_pairs(spark, tmp_path):
     rows = spark.range(n).selectExpr("CAST(id AS string) AS external_id", "'all' AS link")
     assert connected.components(rows, work).select("component").distinct().count() == 1
     assert max(sizes) <= n
+
+
+def test_gains_move_no_pairs_and_keep_odd_sales(spark):
+    """Sales of one id share what covers them; without account or id nothing does, and equal ones stay apart."""
+    day = lambda n: None if n is None else dt.date(2024, 1, n)
+    rows = [("A", "C", 2, "b1", 0, 11, 2, None), ("A", "C", 1, None, 0, -1, 9, 9), ("A", "C", 3, "s1", 0, -4, 9, 3), ("A", "C", 4, "s1", 0, -3, 9, 4),
+            ("A", "C", 5, "s2", 0, -5, 9, 5), (None, "C", 3, "x", 0, -6, 9, 7), (None, "C", 3, "x", 0, -6, 9, 7)]
+    p = spark.createDataFrame([(a, c, day(n), *r) for a, c, n, *r in rows], "account string, currency string, date date, external_id string, posting_idx int, amount int, "
+                              "cost_amount int, price_amount int")
+    p = p.selectExpr("account", "currency", "date", "external_id", "posting_idx", *[f"CAST({c} AS decimal(19,4)) AS {c}" for c in ("amount", "cost_amount", "price_amount")])
+    want = sorted(map(str, [(None, 1, 1, 0, 0, 0), ("s1", 4, -3, 14, 24, 10), ("s1", 3, -4, 14, 24, 10), ("s2", 5, 2, 6, 15, 9), ("x", 6, 6, 0, 0, 0), ("x", 6, 6, 0, 0, 0)]))
+    for block in (1, 2, lots.BLOCK):
+        gains = lots.realised_gains(p, block)
+        found = gains.select("external_id", *[gains[c].cast("int") for c in ("quantity", "uncovered", "cost", "proceeds", "gain")]).collect()
+        assert sorted(str(tuple(r)) for r in found) == want
+    text = gains._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Join") == 1 and "buy_id" not in text
