@@ -251,3 +251,25 @@ def test_children_that_carry_their_file_roll_back_without_a_join(spark, d):
     for t, df in left.items():
         assert df.columns == plain[t].columns and sorted(map(str, df.collect())) == sorted(map(str, plain[t].collect())), t
     assert "LeftAnti" not in left["postings"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_load_lists_only_tables_it_looks_up(spark, d, tmp_path, monkeypatch):
+    root, listed, read = str(tmp_path / "led"), [], store.read_folders
+    L.load(spark, d, root)
+    monkeypatch.setattr(store, "read_folders", lambda spark, root, table, folders: listed.append(table) or read(spark, root, table, folders))
+    assert {r.action: r.n for r in L.load(spark, d, root).collect()}["processed"] == 0
+    assert set(listed) == set(L.LOOKED_UP)
+
+
+def test_lines_are_parsed_once_and_files_are_ranked_without_moving_rows(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "0.json").write_text("")                    # no rows, no rank
+    (folder / "1.json").write_text('{"seq": 3, "kind": "open"}\n\n{bad\n')
+    (folder / "2.json").write_text('{"seq": 4, "kind": "close"}\n')
+    (folder / "3.json").write_text('{"seq": 5, "kind": "open", "account": "%s"}\n' % ("x" * S.SHORT))
+    back = S.read_directives(spark, str(folder), "json", positions="file")
+    assert sorted((r.kind, r.seq) for r in back.filter("kind <> 'unreadable'").collect()) == [("close", 4 + (1 << 40)), ("open", 3), ("open", 5 + (2 << 40))]
+    assert [r.description for r in back.filter("kind = 'unreadable'").collect()] == ["{bad"]
+    text = back.filter("kind = 'open'")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json(") == 1 and "BuildRight" in text
